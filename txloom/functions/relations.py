@@ -68,7 +68,7 @@ def planned_bytes(df: DataFrame) -> int | None:
     jdf = getattr(df, "_jdf", None)
     if jdf is None:
         return None
-    return int(jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
