@@ -167,7 +167,7 @@ def _score(all_tags: str, extra: dict[str, str]) -> str:
 def _ends(side: str, where: str, value: str, usd: str, hash_: str, digits: int) -> str:
     out = []
     for which, fn in (("first", "arg_min"), ("last", "arg_max")):
-        pick = lambda e: f"{fn}({e}, {{'a': ts, 'b': bn, 'c': {hash_}}}) filter ({where})"  # noqa: B023,E731
+        pick = lambda e: f"{fn}({e}, {{'a': ts, 'b': bn, 'c': {hash_}, 'd': coalesce({value}, -1)}}) filter ({where})"  # noqa: B023,E731
         p = f"{which}_{side}_tx"
         out += [
             f"{pick(hash_)} as {p}_hash",
@@ -268,6 +268,38 @@ def _utxo_new_only(source: str, plots: str) -> str:
     return f"select address, feature, '{plots}' as plots, idx from {source} where address not in (select address from old_addr)"
 
 
+DAY_COLUMNS = {
+    "utxo_value_flow": ["partition_date"],
+    "block_fee_ma": ["block_timestamp_month"],
+    "inactivity_last_activity": ["pt"],
+    "inactivity_bootstrap": ["pt"],
+    "account_inactivity_last_activity": ["pt"],
+    "account_inactivity_bootstrap": ["pt"],
+    "stat_daily_utxo": ["block_date"],
+    "stat_daily_token": ["block_date"],
+    "gas_ma": ["block_date"],
+    "succeed_transfers": ["pt"],
+    "token_price_daily": ["price_day"],
+    "day_slice": ["block_timestamp_month"],
+}
+_BLOCKS = [f"{w}_{s}_tx_block_num" for w in ("first", "last") for s in ("in", "out")]
+NUMBER_COLUMNS = {
+    "stat_daily_utxo": [*_BLOCKS, "tx_cnt", "in_tx_cnt", "out_tx_cnt"],
+    "stat_daily_token": [*_BLOCKS, "tx_cnt", "in_tx_cnt", "out_tx_cnt"],
+    "transfers_utxo": ["transaction_cnt"],
+    "transfers_utxo_2": ["transaction_cnt"],
+    "transfers_token": ["transaction_cnt"],
+    "transfers_token_2": ["transaction_cnt"],
+}
+
+
+def _portable(name: str, sql: str) -> str:
+    """Days as text and numbers that may be NULL as double, as the queries give them."""
+    casts = [f"cast({c} as varchar) as {c}" for c in DAY_COLUMNS.get(name, [])]
+    casts += [f"cast({c} as double) as {c}" for c in NUMBER_COLUMNS.get(name, [])]
+    return f"select * replace ({', '.join(casts)}) from ({sql})" if casts else sql
+
+
 def oracle_sql() -> dict[str, str]:
     old_acct = "not exists (from old_acct o where o.address = q.address)"
     bodies: dict[str, str] = {
@@ -379,6 +411,9 @@ def oracle_sql() -> dict[str, str]:
             },
         ),
         **{f"protocol_{n}": statement(f"select * from ({_users(n)}) q where {old_acct}") for n in PROTOCOL_NAMES},
+        "protocol_all_specs": statement(
+            " union all ".join(f"select '{n}' as \"table\", * from ({_users(n)})" for n in PROTOCOLS)
+        ),
         "eth2_depositors": statement(f"select * from ({_users('eth2_depositor')}) q where {old_acct}"),
         **{f"category_{n}": statement(_category(n)) for n in CATEGORIES},
         "category_others": statement(OTHERS),
@@ -394,4 +429,4 @@ def oracle_sql() -> dict[str, str]:
             select hash, bn as block_number, ts as block_timestamp, mon as block_timestamp_month from tx
             where cast(ts as date) between date '1998-02-27' and date '1998-02-28'"""),
     }
-    return bodies
+    return {name: _portable(name, body) for name, body in bodies.items()}

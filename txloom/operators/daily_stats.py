@@ -1,7 +1,8 @@
 """Per-address daily statistics, one aggregation per table.
 
 First and last transactions are min_by / max_by of a struct instead of windows. They combine before
-the shuffle, so a busy address costs one partial row per task. Ties in time go by block and hash.
+the shuffle, so a busy address costs one partial row per task. Ties in time go by block, hash
+and amount.
 """
 
 from __future__ import annotations
@@ -25,7 +26,9 @@ def _endpoints(side: str, hash_col: str, value: str, usd: str, where: Column) ->
         F.col(value).alias("value"),
         F.col(usd).alias("usd_value"),
     ]
-    order = [F.col("block_timestamp"), F.col("block_number"), F.col(hash_col)]
+    # several transfers of one transaction share time, block and hash
+    amount = F.coalesce(F.col(value), F.lit(-1.0))
+    order = [F.col("block_timestamp"), F.col("block_number"), F.col(hash_col), amount]
     return [
         first_row(fields, order, where).alias(f"first_{side}_tx"),
         last_row(fields, order, where).alias(f"last_{side}_tx"),

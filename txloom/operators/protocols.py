@@ -6,6 +6,7 @@ time per sender, a constant tag, new addresses only. Those are specs. The others
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date
 
@@ -139,6 +140,40 @@ def protocol_users(
     return new_only(_first_seen(sent, spec.tag), stored)
 
 
+def protocol_user_tables(
+    tx: DataFrame,
+    events: DataFrame,
+    specs: Mapping[str, ProtocolSpec],
+    run_date: date | None = None,
+    stored: DataFrame | None = None,
+) -> DataFrame:
+    """`protocol_users` for many specs in one pass, with the spec's name in the column `table`.
+
+    One scan and one shuffle of the transactions serve all specs.
+    """
+    names: dict[str, list[str]] = {}
+    for name, spec in specs.items():
+        for event in spec.events:
+            names.setdefault(f"{spec.protocol}.{event}", []).append(name)
+    tables = F.create_map(*[F.lit(v) for pair in names.items() for v in pair])
+    tags = F.create_map(*[F.lit(v) for name, spec in specs.items() for v in (name, spec.tag)])
+    event = F.concat_ws(".", "protocol", "event")
+    emitted = (
+        day_slice(events, run_date)
+        .where(event.isin(*names))
+        .select(F.col("transaction_hash").alias("hash"), F.explode(F.try_element_at(tables, event)).alias("table"))
+    )
+    found = (
+        day_slice(tx, run_date)
+        .select("hash", F.col("from_address").alias("address"), "block_timestamp")
+        .join(emitted, "hash")
+        .groupBy("table", "address")
+        .agg(F.min("block_timestamp").alias("tx_timestamp"))
+        .select("table", "address", "tx_timestamp", F.try_element_at(tags, F.col("table")).alias("tag"))
+    )
+    return new_only(found, stored, on=("table", "address"))
+
+
 def tornado_depositors(tx: DataFrame, run_date: date | None = None, stored: DataFrame | None = None) -> DataFrame:
     """Senders of deposit calls to the mixer's proxy."""
     calls = day_slice(tx, run_date).where(

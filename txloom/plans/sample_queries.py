@@ -5,14 +5,15 @@ All queries read whole tables. Doubles are rounded so that sums taken in another
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField
 
 from txloom.functions.columns import day_slice, hex_bucket, md5_bucket, safe_numeric
-from txloom.functions.relations import accumulate, new_only, tag_rows
+from txloom.functions.relations import accumulate, new_only, tag_rows, union_all
 from txloom.operators import account_activity as activity
 from txloom.operators import (
     coinjoin,
@@ -43,6 +44,24 @@ SHORT_DAILY = inactivity.Horizon(gap=40, inactive=45, expire_partition=90, expir
 POOLS_SINCE = date(1995, 1, 1)
 
 
+def portable(df: DataFrame) -> DataFrame:
+    """Types that any client shows alike: days as text, block numbers and counts that may be NULL as double."""
+    as_double = {"tx_cnt", "in_tx_cnt", "out_tx_cnt", "transaction_cnt"}
+
+    def column(field: StructField) -> Column:
+        if isinstance(field.dataType, DateType):
+            return F.col(field.name).cast("string")
+        if field.name in as_double or field.name.endswith("_block_num"):
+            return F.col(field.name).cast("double")
+        return F.col(field.name)
+
+    return df.select(*[column(f).alias(f.name) for f in df.schema.fields])
+
+
+def _portable(query: Query) -> Query:
+    return lambda spark, sf: portable(query(spark, sf))
+
+
 def rounded(df: DataFrame, **digits: int) -> DataFrame:
     return df.select(*[F.round(c, digits[c]).alias(c) if c in digits else F.col(c) for c in df.columns])
 
@@ -475,9 +494,38 @@ def _protocol_query(name: str) -> Query:
     return query
 
 
+def user_tables(spark: SparkSession, sf: str, names: Iterable[str]) -> dict[str, DataFrame]:
+    """User tables by name; those that follow a spec share one pass over the transactions."""
+    specs = {n: protocols.PROTOCOLS[n] for n in names if n in protocols.PROTOCOLS}
+    tables = {n: protocol_table(spark, sf, n) for n in names if n not in specs}
+    if specs:
+        found = protocols.protocol_user_tables(
+            src.account_transactions(spark, sf), src.protocol_events(spark, sf), specs
+        )
+        tables |= {n: found.where(F.col("table") == n) for n in specs}
+    return tables
+
+
 def category(spark: SparkSession, sf: str, name: str) -> DataFrame:
     spec = tag_views.CATEGORIES[name]
-    return tag_views.category_tags(spec, {s: protocol_table(spark, sf, s) for s in spec.sources})
+    return tag_views.category_tags(spec, user_tables(spark, sf, spec.sources))
+
+
+def stored_user_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """All user tables the categories read, stored once as the daily jobs leave them."""
+    names = sorted({s for spec in tag_views.CATEGORIES.values() for s in spec.sources})
+    build = lambda: union_all(
+        [df.select("address", F.lit(n).alias("table")) for n, df in user_tables(spark, sf, names).items()]
+    )
+    found = staged(spark, src._key(sf, "protocol_users"), build)
+    return {n: found.where(F.col("table") == n) for n in names}
+
+
+def q_protocol_all_specs(spark, sf):
+    """Every spec at once."""
+    return protocols.protocol_user_tables(
+        src.account_transactions(spark, sf), src.protocol_events(spark, sf), protocols.PROTOCOLS
+    )
 
 
 def others(spark: SparkSession, sf: str) -> DataFrame:
@@ -490,6 +538,7 @@ def others(spark: SparkSession, sf: str) -> DataFrame:
 
 def account_tags(spark: SparkSession, sf: str) -> DataFrame:
     tables = _account_inactivity(spark, sf)
+    users = stored_user_tables(spark, sf)
     return tag_views.account_union_tags(
         _fast_account(spark, sf),
         _high_fee_account(spark, sf),
@@ -497,7 +546,7 @@ def account_tags(spark: SparkSession, sf: str) -> DataFrame:
         tables.inactive,
         tables.periodic,
         others(spark, sf),
-        {name: category(spark, sf, name) for name in tag_views.CATEGORIES},
+        {name: tag_views.category_tags(spec, users) for name, spec in tag_views.CATEGORIES.items()},
     )
 
 
@@ -546,7 +595,7 @@ def q_day_slice(spark, sf):
     return tx.select("hash", "block_number", "block_timestamp", "block_timestamp_month")
 
 
-QUERIES: dict[str, Query] = {
+_ALL: dict[str, Query] = {
     **{name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_")},
     "taint_direct_source": _relation(taint.direct_source),
     "taint_direct_dest": _relation(taint.direct_dest),
@@ -557,3 +606,5 @@ QUERIES: dict[str, Query] = {
     **{f"category_{name}": (lambda s, d, n=name: category(s, d, n)) for name in tag_views.CATEGORIES},
     "category_others": others,
 }
+
+QUERIES: dict[str, Query] = {name: _portable(query) for name, query in _ALL.items()}

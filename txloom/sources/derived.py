@@ -335,17 +335,21 @@ def status_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _token_prices(spark: SparkSession, sf_dir: str, first: date, until: date, extra: int) -> DataFrame:
-    tokens = [t for t in range(TOKENS) if t != UNPRICED_TOKEN]
-    day = F.col("day")
-    price = lambda t: ((t * 13 + F.dayofmonth(day)) % 50 + 1 + extra).cast("double")
-    rows = F.array(
-        F.struct(F.lit(ZERO_ADDRESS).alias("address"), F.lit(4000.0 + extra).alias("price"), F.lit("eth").alias("symbol")),
-        *[F.struct(token(F.lit(t)).alias("address"), price(F.lit(t)).alias("price"), F.lit(f"T{t}").alias("symbol")) for t in tokens],
-    )
+    """Prices of the native coin (t = -1) and of all tokens but one, for the days of the range."""
+    numbers = [-1] + [t for t in range(TOKENS) if t != UNPRICED_TOKEN]
+    day, t = F.col("day"), F.col("t")
+    native = t < 0
+    price = F.when(native, 4000).otherwise((t * 13 + F.dayofmonth(day)) % 50 + 1) + extra
     return (
         _days(spark, sf_dir)
         .where((day >= F.lit(first)) & (day < F.lit(until)))
-        .select(day.cast("timestamp_ntz").alias("timestamp"), F.inline(rows))
+        .select("day", F.explode(F.array(*[F.lit(n) for n in numbers])).alias("t"))
+        .select(
+            day.cast("timestamp_ntz").alias("timestamp"),
+            F.when(native, F.lit(ZERO_ADDRESS)).otherwise(token(t)).alias("address"),
+            price.cast("double").alias("price"),
+            F.when(native, F.lit("eth")).otherwise(F.concat(F.lit("T"), t.cast("string"))).alias("symbol"),
+        )
     )
 
 
