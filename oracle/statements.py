@@ -166,7 +166,7 @@ def _score(all_tags: str, extra: dict[str, str]) -> str:
 
 def _ends(side: str, where: str, value: str, usd: str, hash_: str, digits: int) -> str:
     out = []
-    for which, fn in (("first", "arg_min"), ("last", "arg_max")):
+    for which, fn in (("first", "arg_min_null"), ("last", "arg_max_null")):
         pick = lambda e: f"{fn}({e}, {{'a': ts, 'b': bn, 'c': {hash_}, 'd': coalesce({value}, -1)}}) filter ({where})"  # noqa: B023,E731
         p = f"{which}_{side}_tx"
         out += [

@@ -11,8 +11,6 @@ from txloom.functions.columns import (
 )
 from txloom.functions.relations import (
     accumulate,
-    first_row,
-    last_row,
     new_only,
     small_side,
     tag_rows,
@@ -26,10 +24,8 @@ __all__ = [
     "accumulate",
     "day_of",
     "day_slice",
-    "first_row",
     "flow_partition",
     "hex_bucket",
-    "last_row",
     "logistic",
     "md5_bucket",
     "new_only",

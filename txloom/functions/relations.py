@@ -47,22 +47,6 @@ def tag_rows(
     )
 
 
-def first_row(fields: Sequence[Column], order: Sequence[Column], where: Column | None = None) -> Column:
-    """Aggregate: struct of `fields` from the row lowest in `order` among rows meeting `where`."""
-    row, key = F.struct(*fields), F.struct(*order)
-    if where is not None:
-        row, key = F.when(where, row), F.when(where, key)
-    return F.min_by(row, key)
-
-
-def last_row(fields: Sequence[Column], order: Sequence[Column], where: Column | None = None) -> Column:
-    """As `first_row`, for the row highest in `order`."""
-    row, key = F.struct(*fields), F.struct(*order)
-    if where is not None:
-        row, key = F.when(where, row), F.when(where, key)
-    return F.max_by(row, key)
-
-
 def planned_bytes(df: DataFrame) -> int | None:
     """Size the optimizer expects for `df`; None when the session does not expose its plans."""
     jdf = getattr(df, "_jdf", None)

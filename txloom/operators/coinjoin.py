@@ -16,8 +16,8 @@ from txloom.functions.relations import accumulate
 from txloom.operators.value_flow import COIN, with_day_price
 
 
-def _join_values() -> Column:
-    """Output values v, not above the smallest input, that exactly input_count address sets received.
+def _join_values() -> tuple[Column, Column]:
+    """Sorted output values, and of these the values v, not above the smallest input, that exactly input_count address sets received.
 
     The values of the distinct (address set, value) pairs are sorted; v occurs exactly n times where
     the n-th value from its first position is still v and the next is not.
@@ -69,12 +69,15 @@ def coinjoin_address_score(
 
     The score grows with the value, so the largest join value of a transaction gives its best score.
     """
-    usd = F.col("price") * F.array_max("join_values") * F.lit(COIN)
+    usd = F.col("price") * F.col("join_value") * F.lit(COIN)
     score = logistic((F.col("input_count") - 5) / F.lit(5) + (usd - 1000) / F.lit(1000))
     owners = F.array_union(joined_sets(F.col("inputs.addresses")), joined_sets(F.col("outputs.addresses")))
+    joins = _candidates(tx, run_date).select(
+        "block_timestamp", "input_count", owners.alias("owners"), F.array_max("join_values").alias("join_value")
+    )
     scored = (
-        with_day_price(_candidates(tx, run_date), price)
-        .select(F.explode(owners).alias("address"), score.alias("score"))
+        with_day_price(joins, price)
+        .select(F.explode("owners").alias("address"), score.alias("score"))
         .groupBy("address")
         .agg(F.max("score").alias("score"))
         .select(

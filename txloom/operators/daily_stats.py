@@ -1,6 +1,6 @@
 """Per-address daily statistics, one aggregation per table.
 
-First and last transactions are min_by / max_by of a struct instead of windows. They combine before
+First and last transactions are the min / max of a struct instead of windows. They combine before
 the shuffle, so a busy address costs one partial row per task. Ties in time go by block, hash
 and amount.
 """
@@ -13,25 +13,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txloom.functions.columns import day_of, day_slice, hex_bucket, md5_bucket
-from txloom.functions.relations import first_row, last_row
 
 ENDPOINT_FIELDS = ("hash", "block_timestamp", "block_num", "value", "usd_value")
 
 
 def _endpoints(side: str, hash_col: str, value: str, usd: str, where: Column) -> list[Column]:
-    fields = [
-        F.col(hash_col).alias("hash"),
+    """First and last transaction of a side: the smallest and largest struct that starts with the time."""
+    row = F.struct(
         F.col("block_timestamp"),
         F.col("block_number").alias("block_num"),
+        F.col(hash_col).alias("hash"),
         F.col(value).alias("value"),
         F.col(usd).alias("usd_value"),
-    ]
-    # several transfers of one transaction share time, block and hash
-    amount = F.coalesce(F.col(value), F.lit(-1.0))
-    order = [F.col("block_timestamp"), F.col("block_number"), F.col(hash_col), amount]
+    )
     return [
-        first_row(fields, order, where).alias(f"first_{side}_tx"),
-        last_row(fields, order, where).alias(f"last_{side}_tx"),
+        F.min(F.when(where, row)).alias(f"first_{side}_tx"),
+        F.max(F.when(where, row)).alias(f"last_{side}_tx"),
     ]
 
 

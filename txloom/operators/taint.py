@@ -22,7 +22,7 @@ FULL_WEIGHT_USD = 10_000
 RELATION_COLUMNS = ("address", "plots", "relation", "idx", "sub_weight")
 
 
-def _lines(side: str, *fields: str) -> Column:
+def _lines(side: str, fields: tuple[str, ...]) -> Column:
     names = ("value", "type", "addresses", *fields)
     zipped = F.arrays_zip(*[F.col(f"{side}.{n}").alias(n) for n in names])
     return F.filter(zipped, lambda x: ~x["type"].isin(*DROPPED_TYPES))
@@ -35,46 +35,48 @@ def _total(lines: str) -> Column:
     )
 
 
-def input_ledger(tx: DataFrame, price: DataFrame) -> DataFrame:
-    """One row per input line and address, with its USD value and the transaction's input total."""
-    lines = tx.select(
-        "hash",
-        "block_timestamp",
-        "input_count",
-        _lines("inputs", "spent_transaction_hash", "spent_output_index").alias("lines"),
-    )
-    return (
-        with_day_price(lines, price, "inner")
-        .select("hash", "input_count", "price", _total("lines").alias("total_in"), F.inline("lines"))
-        .select(
-            "hash",
-            F.explode("addresses").alias("address"),
-            "value",
-            (F.col("value") / UNITS_PER_COIN * F.col("price")).alias("spent_usd_value"),
-            "total_in",
-            "input_count",
-            "spent_transaction_hash",
-            "spent_output_index",
-        )
+def _folded(
+    tx: DataFrame, price: DataFrame, side: str, total: str, count: str, fields: tuple[str, ...] = ()
+) -> DataFrame:
+    """One row per transaction: price, total of the side and its lines as an array."""
+    lines = tx.select("hash", "block_timestamp", count, _lines(side, fields).alias("lines"))
+    return with_day_price(lines, price, "inner").select("hash", count, "price", _total("lines").alias(total), "lines")
+
+
+def _unfold(folded: DataFrame, usd: str) -> DataFrame:
+    """One row per line and address, other columns kept."""
+    kept = [c for c in folded.columns if c not in ("lines", "price")]
+    fields = [f for f in folded.schema["lines"].dataType.elementType.names if f not in ("addresses", "type", "value")]
+    return folded.select(*kept, "price", F.inline("lines")).select(
+        *kept,
+        F.explode("addresses").alias("address"),
+        "value",
+        (F.col("value") / UNITS_PER_COIN * F.col("price")).alias(usd),
+        *fields,
     )
 
 
-def output_ledger(tx: DataFrame, price: DataFrame) -> DataFrame:
+def _folded_inputs(tx: DataFrame, price: DataFrame, *fields: str) -> DataFrame:
+    return _folded(tx, price, "inputs", "total_in", "input_count", fields)
+
+
+def _folded_outputs(tx: DataFrame, price: DataFrame, *fields: str) -> DataFrame:
+    return _folded(tx, price, "outputs", "total_out", "output_count", fields)
+
+
+def input_ledger(tx: DataFrame, price: DataFrame, origins: bool = False) -> DataFrame:
+    """One row per input line and address, with its USD value and the transaction's input total.
+
+    `origins` adds the spent transaction and index, the widest columns of an input; a ledger
+    without them does not read them.
+    """
+    fields = ("spent_transaction_hash", "spent_output_index") if origins else ()
+    return _unfold(_folded_inputs(tx, price, *fields), "spent_usd_value")
+
+
+def output_ledger(tx: DataFrame, price: DataFrame, positions: bool = False) -> DataFrame:
     """One row per output line and address, with its USD value and the transaction's output total."""
-    lines = tx.select("hash", "block_timestamp", "output_count", _lines("outputs", "index").alias("lines"))
-    return (
-        with_day_price(lines, price, "inner")
-        .select("hash", "output_count", "price", _total("lines").alias("total_out"), F.inline("lines"))
-        .select(
-            "hash",
-            "index",
-            F.explode("addresses").alias("address"),
-            "value",
-            (F.col("value") / UNITS_PER_COIN * F.col("price")).alias("receive_usd_value"),
-            "total_out",
-            "output_count",
-        )
-    )
+    return _unfold(_folded_outputs(tx, price, *(["index"] if positions else [])), "receive_usd_value")
 
 
 def spent_totals(inputs: DataFrame) -> DataFrame:
@@ -94,31 +96,33 @@ def labels_of(tags: DataFrame) -> DataFrame:
     return tags.where(F.col("plots").isNotNull()).groupBy("address", "plots").agg(F.max("score").alias("score"))
 
 
-def _common(ledger: DataFrame, labels: DataFrame, count: str, relation: str, idx: int) -> DataFrame:
+def _common(folded: DataFrame, labels: DataFrame, count: str, relation: str, idx: int) -> DataFrame:
     marked = (
-        ledger.select("hash", "address")
+        _unfold(folded.select("hash", "price", "lines"), "usd")
+        .select("hash", "address")
         .join(labels, "address")
         .groupBy("hash", "plots")
         .agg(F.min("address").alias("ref_address"), F.max("score").alias("base_score"))
     )
     weight = F.when(F.col(count) <= 3, F.lit(1.0)).otherwise(F.lit(3) / F.col(count) * F.col("base_score"))
     return (
-        ledger.select("hash", "address", count)
+        folded.select("hash", count, F.flatten("lines.addresses").alias("addresses"))
         .join(marked, "hash")
+        .select("plots", "ref_address", weight.alias("sub_weight"), F.explode("addresses").alias("address"))
         .where(F.col("address") != F.col("ref_address"))
-        .select("address", "plots", F.lit(relation).alias("relation"), F.lit(idx).alias("idx"), weight.alias("sub_weight"))
+        .select("address", "plots", F.lit(relation).alias("relation"), F.lit(idx).alias("idx"), "sub_weight")
         .distinct()
     )
 
 
-def common_input(inputs: DataFrame, labels: DataFrame) -> DataFrame:
+def common_input(tx: DataFrame, price: DataFrame, labels: DataFrame) -> DataFrame:
     """Addresses that spend together with a labelled address (idx 1)."""
-    return _common(inputs, labels, "input_count", "common input", 1)
+    return _common(_folded_inputs(tx, price), labels, "input_count", "common input", 1)
 
 
-def common_output(outputs: DataFrame, labels: DataFrame) -> DataFrame:
+def common_output(tx: DataFrame, price: DataFrame, labels: DataFrame) -> DataFrame:
     """Addresses that receive together with a labelled address (idx 2)."""
-    return _common(outputs, labels, "output_count", "common output", 2)
+    return _common(_folded_outputs(tx, price), labels, "output_count", "common output", 2)
 
 
 def _leading_refs(refs: DataFrame, keep: int) -> DataFrame:
@@ -160,136 +164,113 @@ def _exposure_score(pairs: DataFrame, totals: DataFrame, relation: str, idx: int
     )
 
 
-def source_pairs(inputs: DataFrame, outputs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Input lines paired with the leading labelled receivers of their transaction."""
-    refs = (
-        outputs.select("hash", "address", "value")
-        .join(labels, "address")
-        .groupBy("hash", "plots", F.col("address").alias("ref_address"))
-        .agg(F.min("value").alias("ref_amount"), F.max("score").alias("base_score"))
+def _labelled(ledger: DataFrame, labels: DataFrame, *more: Column) -> DataFrame:
+    """Labelled addresses per transaction, one row per (hash, plots, ref_address).
+
+    One shuffle by hash serves this aggregation, the ranking after it and the join with the
+    transaction's other side.
+    """
+    return (
+        ledger.join(labels, "address")
+        .withColumnRenamed("address", "ref_address")
+        .repartition("hash")
+        .groupBy("hash", "plots", "ref_address")
+        .agg(F.min("value").alias("ref_amount"), F.max("score").alias("base_score"), *more)
     )
+
+
+def _source_pairs(folded_inputs: DataFrame, outputs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Input lines paired with the leading labelled receivers of their transaction."""
+    refs = _leading_refs(_labelled(outputs.select("hash", "address", "value"), labels), 3)
     share = F.col("ref_amount") / F.col("total_in")
+    paired = _unfold(folded_inputs.where(F.col("total_in") > 0).join(refs, "hash"), "spent_usd_value")
     return (
-        inputs.where(F.col("total_in") > 0)
-        .join(_leading_refs(refs, 3), "hash")
-        .where(F.col("address") != F.col("ref_address"))
-        .select(
-            "hash",
-            "address",
-            "plots",
-            "ref_address",
-            "base_score",
-            (F.col("spent_usd_value") * share).alias("usd"),
-            (F.col("value") * share).alias("amount"),
-            "spent_transaction_hash",
-            "spent_output_index",
-        )
+        paired.where(F.col("address") != F.col("ref_address"))
+        .withColumn("usd", F.col("spent_usd_value") * share)
+        .withColumn("amount", F.col("value") * share)
     )
 
 
-def direct_source(inputs: DataFrame, outputs: DataFrame, labels: DataFrame) -> DataFrame:
+def direct_source(tx: DataFrame, price: DataFrame, labels: DataFrame) -> DataFrame:
     """Addresses whose money went to a labelled address (idx 3)."""
-    return _exposure_score(source_pairs(inputs, outputs, labels), spent_totals(inputs), "direct source", 3)
+    pairs = _source_pairs(_folded_inputs(tx, price), output_ledger(tx, price), labels)
+    return _exposure_score(pairs, spent_totals(input_ledger(tx, price)), "direct source", 3)
 
 
-def indirect_source(inputs: DataFrame, outputs: DataFrame, labels: DataFrame) -> DataFrame:
+def indirect_source(tx: DataFrame, price: DataFrame, labels: DataFrame) -> DataFrame:
     """Addresses whose money went to a labelled address through one transaction between (idx 5)."""
-    known = outputs.select("hash", "index")
+    spending = _folded_inputs(tx, price, "spent_transaction_hash", "spent_output_index")
+    reached = _source_pairs(spending, output_ledger(tx, price), labels).select(
+        F.col("spent_transaction_hash").alias("hash"),
+        F.col("spent_output_index").alias("spent_index"),
+        "plots",
+        "ref_address",
+        "amount",
+        "base_score",
+    )
+    # the spent output must be one that counts; the check stays on the key of the next steps
+    origins = _folded_outputs(tx, price, "index").select("hash", "lines")
+    counts = F.exists("lines", lambda x: (x["index"] == F.col("spent_index")) & (F.size(x["addresses"]) > 0))
     refs = (
-        source_pairs(inputs, outputs, labels)
-        .select(
-            F.col("spent_transaction_hash").alias("hash"),
-            F.col("spent_output_index").alias("index"),
-            "plots",
-            "ref_address",
-            "amount",
-            "base_score",
-        )
-        .join(known, ["hash", "index"], "left_semi")
+        reached.join(origins, "hash")
+        .where(counts)
         .groupBy("hash", "plots", "ref_address")
         .agg(F.min("amount").alias("ref_amount"), F.max("base_score").alias("base_score"))
     )
+    inputs = _folded_inputs(tx, price).where(F.col("total_in") > 0)
     pairs = (
-        inputs.where(F.col("total_in") > 0)
-        .join(_leading_refs(refs, 2), "hash")
+        _unfold(inputs.join(_leading_refs(refs, 2), "hash"), "spent_usd_value")
         .where(F.col("address") != F.col("ref_address"))
-        .select(
-            "hash",
-            "address",
-            "plots",
-            "base_score",
-            (F.col("spent_usd_value") * F.col("ref_amount") / F.col("total_in")).alias("usd"),
-        )
+        .withColumn("usd", F.col("spent_usd_value") * F.col("ref_amount") / F.col("total_in"))
     )
-    return _exposure_score(pairs, spent_totals(inputs), "indirect source", 5)
+    return _exposure_score(pairs, spent_totals(input_ledger(tx, price)), "indirect source", 5)
 
 
-def dest_pairs(inputs: DataFrame, outputs: DataFrame, labels: DataFrame) -> DataFrame:
+def _dest_pairs(inputs: DataFrame, folded_outputs: DataFrame, labels: DataFrame) -> DataFrame:
     """Output lines paired with the leading labelled spenders of their transaction."""
-    refs = (
-        inputs.select("hash", "address", "value", "total_in")
-        .join(labels, "address")
-        .groupBy("hash", "plots", F.col("address").alias("ref_address"))
-        .agg(
-            F.min("value").alias("ref_amount"),
-            F.min("total_in").alias("ref_total"),
-            F.max("score").alias("base_score"),
-        )
-    )
-    return (
-        outputs.join(_leading_refs(refs, 3), "hash")
-        .where(F.col("address") != F.col("ref_address"))
-        .select(
-            "hash",
-            "index",
-            "address",
-            "plots",
-            "ref_address",
-            "base_score",
-            F.col("receive_usd_value").alias("usd"),
-            (F.col("value") * F.try_divide(F.col("ref_amount"), F.col("ref_total"))).alias("amount"),
-        )
-    )
+    spenders = inputs.select("hash", "address", "value", "total_in")
+    refs = _leading_refs(_labelled(spenders, labels, F.min("total_in").alias("ref_total")), 3)
+    paired = _unfold(folded_outputs.join(refs, "hash"), "usd")
+    share = F.try_divide(F.col("ref_amount"), F.col("ref_total"))
+    return paired.where(F.col("address") != F.col("ref_address")).withColumn("amount", F.col("value") * share)
 
 
-def direct_dest(inputs: DataFrame, outputs: DataFrame, labels: DataFrame) -> DataFrame:
+def direct_dest(tx: DataFrame, price: DataFrame, labels: DataFrame) -> DataFrame:
     """Addresses that received money from a labelled address (idx 4)."""
-    return _exposure_score(dest_pairs(inputs, outputs, labels), received_totals(outputs), "direct dest", 4)
+    pairs = _dest_pairs(input_ledger(tx, price), _folded_outputs(tx, price), labels)
+    return _exposure_score(pairs, received_totals(output_ledger(tx, price)), "direct dest", 4)
 
 
-def indirect_dest(inputs: DataFrame, outputs: DataFrame, labels: DataFrame) -> DataFrame:
+def indirect_dest(tx: DataFrame, price: DataFrame, labels: DataFrame) -> DataFrame:
     """Addresses that received a labelled address's money through one transaction between (idx 6)."""
-    spends = inputs.select(
+    spends = input_ledger(tx, price, origins=True).select(
         F.col("hash").alias("next_hash"),
         F.col("total_in").alias("next_total"),
         F.col("spent_transaction_hash").alias("hash"),
         F.col("spent_output_index").alias("index"),
     )
     refs = (
-        dest_pairs(inputs, outputs, labels)
+        _dest_pairs(input_ledger(tx, price), _folded_outputs(tx, price, "index"), labels)
         .groupBy("hash", "index", "plots", "ref_address")
         .agg(F.min("amount").alias("amount"), F.max("base_score").alias("base_score"))
         .join(spends, ["hash", "index"])
-        .groupBy(F.col("next_hash").alias("hash"), "plots", "ref_address")
+        .drop("hash")
+        .withColumnRenamed("next_hash", "hash")
+        .repartition("hash")
+        .groupBy("hash", "plots", "ref_address")
         .agg(
             F.min("amount").alias("ref_amount"),
             F.max("base_score").alias("base_score"),
             F.min("next_total").alias("next_total"),
         )
     )
+    outputs = _folded_outputs(tx, price).where(F.col("total_out") > 0)
     pairs = (
-        outputs.where(F.col("total_out") > 0)
-        .join(_leading_refs(refs, 2), "hash")
+        _unfold(outputs.join(_leading_refs(refs, 2), "hash"), "receive_usd_value")
         .where(F.col("address") != F.col("ref_address"))
-        .select(
-            "hash",
-            "address",
-            "plots",
-            "base_score",
-            F.try_divide(F.col("receive_usd_value") * F.col("ref_amount"), F.col("next_total")).alias("usd"),
-        )
+        .withColumn("usd", F.try_divide(F.col("receive_usd_value") * F.col("ref_amount"), F.col("next_total")))
     )
-    return _exposure_score(pairs, received_totals(outputs), "indirect dest", 6)
+    return _exposure_score(pairs, received_totals(output_ledger(tx, price)), "indirect dest", 6)
 
 
 def direct_labels(curated: DataFrame) -> DataFrame:
@@ -301,16 +282,9 @@ def direct_labels(curated: DataFrame) -> DataFrame:
 
 def taint_propagation(tx: DataFrame, price: DataFrame, tags: DataFrame, curated: DataFrame) -> DataFrame:
     """All seven relations. `tags` is the seed view with scores, `curated` the hand-made labels alone."""
-    inputs, outputs, labels = input_ledger(tx, price), output_ledger(tx, price), labels_of(tags)
-    relations = [
-        direct_labels(curated),
-        common_input(inputs, labels),
-        common_output(outputs, labels),
-        direct_source(inputs, outputs, labels),
-        direct_dest(inputs, outputs, labels),
-        indirect_source(inputs, outputs, labels),
-        indirect_dest(inputs, outputs, labels),
-    ]
+    labels = labels_of(tags)
+    spread = [common_input, common_output, direct_source, direct_dest, indirect_source, indirect_dest]
+    relations = [direct_labels(curated), *[relation(tx, price, labels) for relation in spread]]
     return union_all([r.select(*RELATION_COLUMNS) for r in relations])
 
 

@@ -92,13 +92,19 @@ def flow(spark: SparkSession, sf: str) -> DataFrame:
     return value_flow.utxo_value_flow(src.utxo_transactions(spark, sf), src.day_price(spark, sf))
 
 
+def stored_flow(spark: SparkSession, sf: str) -> DataFrame:
+    """The value-flow table as its daily job leaves it; marts and tags read the stored table."""
+    return staged(spark, src._key(sf, "value_flow"), lambda: flow(spark, sf))
+
+
 def q_utxo_value_flow(spark, sf):
     usd = {f"{s}_usd_value": USD for s in ("in", "out", "net")}
     return rounded(flow(spark, sf), in_value=COINS, out_value=COINS, net_value=COINS, **usd)
 
 
 def q_price_daily(spark, sf):
-    return src.day_price(spark, sf).select("price_timestamp", F.col("price").cast("double").alias("price"))
+    closes = value_flow.daily_close(src.klines(spark, sf), src.price_backfill(spark, sf))
+    return closes.select("price_timestamp", F.col("price").cast("double").alias("price"))
 
 
 def q_block_fee_ma(spark, sf):
@@ -156,7 +162,7 @@ def q_high_fee_utxo(spark, sf):
 
 
 def q_large_value_utxo(spark, sf):
-    return large_value.utxo_large_value(flow(spark, sf), stored=stored_addresses(spark, sf))
+    return large_value.utxo_large_value(stored_flow(spark, sf), stored=stored_addresses(spark, sf))
 
 
 def q_coinbase_miners(spark, sf):
@@ -182,7 +188,7 @@ def _inactivity(rows: DataFrame, ts: Column, horizon: inactivity.Horizon, stored
 
 
 def _utxo_inactivity(spark, sf):
-    rows = inactivity.utxo_activity(flow(spark, sf))
+    rows = inactivity.utxo_activity(stored_flow(spark, sf))
     return _inactivity(rows, F.col("block_timestamp"), SHORT, stored_addresses(spark, sf))
 
 
@@ -205,7 +211,7 @@ def q_inactivity_inactive(spark, sf):
 
 def q_inactivity_bootstrap(spark, sf):
     """The three history builds side by side, one row per address."""
-    return _bootstrap(inactivity.utxo_activity(flow(spark, sf)), SHORT)
+    return _bootstrap(inactivity.utxo_activity(stored_flow(spark, sf)), SHORT)
 
 
 def _bootstrap(rows: DataFrame, horizon: inactivity.Horizon) -> DataFrame:
@@ -252,24 +258,10 @@ def q_tags_seed_view(spark, sf):
     return rounded(tag_views.utxo_seed_tags(src.seed_labels(spark, sf), _mixers(spark, sf)), score=WEIGHT)
 
 
-def _ledgers(spark, sf):
-    tx, price = src.utxo_transactions(spark, sf), src.day_price(spark, sf)
-    return taint.input_ledger(tx, price), taint.output_ledger(tx, price), taint.labels_of(seed_tags(spark, sf))
-
-
-def q_taint_common_input(spark, sf):
-    inputs, _, labels = _ledgers(spark, sf)
-    return rounded(taint.common_input(inputs, labels), sub_weight=WEIGHT)
-
-
-def q_taint_common_output(spark, sf):
-    _, outputs, labels = _ledgers(spark, sf)
-    return rounded(taint.common_output(outputs, labels), sub_weight=WEIGHT)
-
-
 def _relation(fn):
     def query(spark, sf):
-        return rounded(fn(*_ledgers(spark, sf)), sub_weight=WEIGHT)
+        labels = taint.labels_of(seed_tags(spark, sf))
+        return rounded(fn(src.utxo_transactions(spark, sf), src.day_price(spark, sf), labels), sub_weight=WEIGHT)
 
     return query
 
@@ -290,7 +282,7 @@ def utxo_tags(spark: SparkSession, sf: str) -> DataFrame:
     return tag_views.utxo_union_tags(
         _fast_utxo(spark, sf),
         _high_fee_utxo(spark, sf),
-        large_value.utxo_large_value(flow(spark, sf)),
+        large_value.utxo_large_value(stored_flow(spark, sf)),
         coinjoin.mimo_addresses(tx),
         tables.inactive,
         tables.periodic,
@@ -302,7 +294,7 @@ def q_tags_union_utxo(spark, sf):
 
 
 def q_stat_daily_utxo(spark, sf):
-    df = daily_stats.utxo_stat_daily(flow(spark, sf))
+    df = daily_stats.utxo_stat_daily(stored_flow(spark, sf))
     return _rounded_stats(df, USD)
 
 
@@ -312,7 +304,7 @@ def _rounded_stats(df: DataFrame, usd: int) -> DataFrame:
 
 
 def _utxo_edges(spark, sf):
-    return transfer_graph.utxo_transfers(flow(spark, sf))
+    return transfer_graph.utxo_transfers(stored_flow(spark, sf))
 
 
 def q_transfers_utxo(spark, sf):
@@ -368,7 +360,7 @@ def q_succeed_transfers(spark, sf):
 
 
 def q_token_price_daily(spark, sf):
-    return src.token_price(spark, sf)
+    return token_flow.token_price_daily(src.token_price_history(spark, sf), src.token_price_current(spark, sf))
 
 
 def q_successful_tx(spark, sf):
@@ -597,6 +589,8 @@ def q_day_slice(spark, sf):
 
 _ALL: dict[str, Query] = {
     **{name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_")},
+    "taint_common_input": _relation(taint.common_input),
+    "taint_common_output": _relation(taint.common_output),
     "taint_direct_source": _relation(taint.direct_source),
     "taint_direct_dest": _relation(taint.direct_dest),
     "taint_indirect_source": _relation(taint.indirect_source),

@@ -7,6 +7,7 @@ output arrays hold one order's lines. All tables grow with the files they are de
 from __future__ import annotations
 
 import zlib
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,6 +56,11 @@ def _key(sf_dir: str, name: str) -> str:
     return f"{name}-{zlib.crc32(str(sf_dir).encode()):08x}"
 
 
+def _raw(spark: SparkSession, sf_dir: str, name: str, build: Callable[[SparkSession, str], DataFrame], base: str) -> DataFrame:
+    """A raw chain table, written once per application as a chain export leaves it."""
+    return staged(spark, _key(sf_dir, name), lambda: build(spark, sf_dir), source=table(spark, sf_dir, base))
+
+
 def _md5(prefix: str, n: Column) -> Column:
     return F.md5(F.concat(F.lit(prefix), n.cast("string")).cast("binary"))
 
@@ -144,7 +150,7 @@ def _build_utxo_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def utxo_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested transactions: order k pays its own lines and spends the lines of order k - 1."""
-    return staged(spark, _key(sf_dir, "utxo_transactions"), lambda: _build_utxo_transactions(spark, sf_dir))
+    return _raw(spark, sf_dir, "utxo_transactions", _build_utxo_transactions, "lineitem")
 
 
 def _close(day: Column) -> Column:
@@ -180,7 +186,8 @@ def price_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def day_price(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return daily_close(klines(spark, sf_dir), price_backfill(spark, sf_dir))
+    build = lambda: daily_close(klines(spark, sf_dir), price_backfill(spark, sf_dir))
+    return staged(spark, _key(sf_dir, "day_price"), build)
 
 
 def seed_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,7 +210,7 @@ def risk_weights(spark: SparkSession) -> DataFrame:
 # --- account chain ----------------------------------------------------------------------------
 
 
-def account_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _build_account_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     to = (
         F.when(k % 40 == 0, F.lit(None).cast("string"))
@@ -244,7 +251,7 @@ def _lines_with_block(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").join(orders, "l_orderkey")
 
 
-def traces(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _build_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
     reward = (F.col("l_orderkey") % 20 == 0) & (F.col("l_linenumber") == 1)
     nothing = F.lit(None).cast("string")
     return _lines_with_block(spark, sf_dir).select(
@@ -259,7 +266,7 @@ def traces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def token_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _build_token_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
     amount = F.concat(F.round(F.col("l_extendedprice") * 100).cast("long").cast("string"), F.lit("0000"))
     return _lines_with_block(spark, sf_dir).select(
         _md5("e", F.col("l_orderkey")).alias("transaction_hash"),
@@ -279,7 +286,7 @@ def _events_with_block(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").join(orders, "event_id")
 
 
-def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _build_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("event_id")
     topic = (
         F.when(n % 4 == 0, F.lit(CURVE_TOPICS[0]))
@@ -295,7 +302,7 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def protocol_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _build_protocol_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract events, the event names going round over the event ids."""
     n = F.col("event_id")
     pairs = F.array(*[F.struct(F.lit(p).alias("protocol"), F.lit(e).alias("event")) for p, e in EVENT_PAIRS])
@@ -363,7 +370,10 @@ def token_price_current(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def token_price(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_price_daily(token_price_history(spark, sf_dir), token_price_current(spark, sf_dir))
+    build = lambda: token_price_daily(
+        token_price_history(spark, sf_dir), token_price_current(spark, sf_dir)
+    )
+    return staged(spark, _key(sf_dir, "token_price"), build)
 
 
 def account_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -376,3 +386,26 @@ def account_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def miner_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = F.col("s_suppkey")
     return table(spark, sf_dir, "supplier").select(account(s % 400).alias("to_address"), F.lit("pool").alias("tags")).distinct()
+
+
+# --- raw tables of the account chain ----------------------------------------------------------
+
+
+def account_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _raw(spark, sf_dir, "account_transactions", _build_account_transactions, "orders")
+
+
+def traces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _raw(spark, sf_dir, "traces", _build_traces, "lineitem")
+
+
+def token_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _raw(spark, sf_dir, "token_transfers", _build_token_transfers, "lineitem")
+
+
+def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _raw(spark, sf_dir, "logs", _build_logs, "events")
+
+
+def protocol_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _raw(spark, sf_dir, "protocol_events", _build_protocol_events, "events")

@@ -11,6 +11,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from txloom.functions.relations import planned_bytes
+
+FILE_BYTES = 128 << 20
+
 _test_roots: dict[str, str] = {}
 _staged: dict[tuple[str, str], tuple[str, object]] = {}
 
@@ -33,9 +37,22 @@ def _complete(spark: SparkSession, path: str) -> bool:
     return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
 
 
-def staged(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+def _even(df: DataFrame, source: DataFrame) -> DataFrame:
+    """`df` spread evenly over about a file per FILE_BYTES of the table it is made from.
+
+    The size of a scan is known; what the optimizer expects of a whole plan may be off by any factor.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(cores, (planned_bytes(source) or 0) // FILE_BYTES))
+
+
+def staged(
+    spark: SparkSession, name: str, build: Callable[[], DataFrame], source: DataFrame | None = None
+) -> DataFrame:
     """The table `name` of this application, built and written the first time it is asked for.
 
+    With `source`, the scan it is derived from, its files are even in size.
+
     Without a shared folder to write to, the DataFrame is returned as it is built.
     """
     root = staging_root(spark)
@@ -45,7 +62,7 @@ def staged(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> Da
     if key not in _staged or not _complete(spark, _staged[key][0]):
         df = build()
         path = f"{root}/{name}"
-        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        (df if source is None else _even(df, source)).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
         _staged[key] = (path, df.schema)
     path, schema = _staged[key]
     return spark.read.schema(schema).parquet(path)
