@@ -52,7 +52,8 @@ def _shares(side: str, is_output: bool) -> Column:
         kept,
         lambda x: F.struct(
             x["addresses"].alias("addresses"),
-            (x["value"] / F.size(x["addresses"])).alias("share"),
+            # a line without addresses gives no row; it must not fail either
+            F.try_divide(x["value"], F.size(x["addresses"])).alias("share"),
             F.lit(is_output).alias("is_output"),
         ),
     )

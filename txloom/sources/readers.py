@@ -29,7 +29,7 @@ def _missing(actual: StructType, wanted: StructType, prefix: str = "") -> list[s
 
 def checked(df: DataFrame, table: str) -> DataFrame:
     """`df`, or a ValueError that names the columns of `table` it lacks."""
-    missing = _missing(df.schema, INPUTS[table])
+    missing = _missing(df.schema, StructType.fromDDL(INPUTS[table]))
     if missing:
         raise ValueError(f"{table} lacks {', '.join(missing)}")
     return df

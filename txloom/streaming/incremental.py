@@ -25,15 +25,14 @@ def run_inactivity(
     """One run of the inactivity tables under `root`: state, inactive, periodic."""
     version = now.strftime("%Y%m%dT%H%M%S")
     empty = {
-        "state": LAST_ACTIVITY.simpleString()[7:-1],
-        "inactive": "address:string,latest_activate_timestamp:timestamp,create_time:timestamp",
-        "periodic": "address:string,create_time:timestamp",
+        "state": LAST_ACTIVITY,
+        "inactive": "address string, latest_activate_timestamp timestamp, create_time timestamp",
+        "periodic": "address string, create_time timestamp",
     }
 
     def stored(name: str) -> DataFrame:
         found = read_snapshot(spark, f"{root}/{name}", before=version)
-        ddl = empty[name].replace(":", " ")
-        return spark.createDataFrame([], ddl) if found is None else found
+        return spark.createDataFrame([], empty[name]) if found is None else found
 
     tables = inactivity.InactivityTables(stored("state"), stored("inactive"), stored("periodic"))
     after = inactivity.inactivity_step(tables, activity, now, horizon)
