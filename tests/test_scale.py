@@ -1,0 +1,56 @@
+"""Plans and results under skew and small broadcast limits."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from txloom.functions.relations import small_side
+from txloom.sources import derived
+
+SF = "/root/testdata/sf0.001"
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_small_side_hints_only_within_the_bound(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left, right = spark.range(100), spark.range(1000)
+        assert "Broadcast" in plan_of(left.join(small_side(right), "id"))
+        assert "Broadcast" not in plan_of(left.join(small_side(right, max_rows=999), "id"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("name", ["taint_indirect_dest", "stat_daily_token", "transfers_utxo", "protocol_all_specs", "fast_tx_utxo", "frequent_io"])
+def test_results_do_not_depend_on_join_strategy_or_partitions(spark, name):
+    query = entry.queries()[name]
+    columns = sorted(query(spark, SF).columns)
+    digest = lambda: query(spark, SF).select(F.sum(F.xxhash64(*columns).cast("decimal(38,0)")), F.count("*")).first()
+    expected = digest()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        assert digest() == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_no_python_and_no_nested_loops(spark, name):
+    plan = plan_of(entry.queries()[name](spark, SF))
+    for operator in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert operator not in plan
+
+
+def test_nested_columns_are_pruned(spark):
+    df = entry.queries()["mimo"](spark, SF)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "inputs" in plan
+    scan = derived.utxo_transactions(spark, SF).select(F.explode("outputs.addresses"))
+    assert "outputs:array<struct<addresses:array<string>>>" in plan_of(scan)

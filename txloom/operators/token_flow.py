@@ -149,18 +149,23 @@ def priced_transfers(
     `successful` (hashes, see `successful_tx`) restricts native transfers; token transfers are
     recorded for successful calls only.
     """
+    prices = day_slice(token_price, run_date, column="price_day").select(
+        F.col("address").alias("token_address"), F.col("price_day").alias("_day"), "price"
+    )
     native = native_transfers(day_slice(traces, run_date), both_ends=False, scale="multiply")
     if successful is not None:
         native = native.join(successful.select(F.col("hash").alias("transaction_hash")), "transaction_hash", "left_semi")
-    native = native.withColumn("token_address", F.lit(ZERO_ADDRESS)).withColumn("symbol", F.lit("eth"))
-    tokens = direct_token_transfers(token_transfers, tx, valid_tokens(token_price, decimals), run_date)
-    prices = day_slice(token_price, run_date, column="price_day").select(
-        F.col("address").alias("token_address"), F.col("price_day").alias("_day"), "price"
+    # all native transfers share one token address; they join on the day alone, a row per day
+    native = native.withColumn("_day", day_of("block_timestamp")).join(
+        small_side(prices.where(F.col("token_address") == ZERO_ADDRESS)), "_day"
+    ).withColumn("symbol", F.lit("eth"))
+    tokens = (
+        direct_token_transfers(token_transfers, tx, valid_tokens(token_price, decimals), run_date)
+        .withColumn("_day", day_of("block_timestamp"))
+        .join(small_side(prices.where(F.col("token_address") != ZERO_ADDRESS)), ["token_address", "_day"])
     )
     return (
         union_all([native, tokens.select(*native.columns)])
-        .withColumn("_day", day_of("block_timestamp"))
-        .join(prices, ["token_address", "_day"])
         .withColumn("usd_value", F.col("value") * F.coalesce(F.col("price"), F.lit(0.0)))
         .drop("_day", "price")
     )

@@ -7,10 +7,12 @@ input names (see `schemas.INPUTS`) to DataFrames, `out` is the folder of the res
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from txloom.functions.columns import COARSE_BEFORE
 from txloom.operators import (
     coinjoin,
     daily_stats,
@@ -33,7 +35,13 @@ def utxo_facts(tables: Tables, out: str, run_date: date | None = None) -> None:
     """Value flow, its daily statistics, large-value tags and block fees for one day (or all days)."""
     tx = tables["utxo_transactions"]
     spark = tx.sparkSession
-    flow = value_flow.utxo_value_flow(tx, tables["day_price"], run_date)
+    if run_date and run_date - timedelta(days=1) < COARSE_BEFORE:
+        # the day's partition is its month; it is replaced as a whole, so it is rebuilt as a whole
+        month = (run_date - timedelta(days=1)).replace(day=1)
+        of_month = F.trunc(F.to_date("block_timestamp"), "MM") == F.lit(month)
+        flow = value_flow.utxo_value_flow(tx.where(of_month), tables["day_price"])
+    else:
+        flow = value_flow.utxo_value_flow(tx, tables["day_price"], run_date)
     sinks.reload_partitions(flow, f"{out}/value_flow", "partition_date", spread=["hash"])
     flow = spark.read.parquet(f"{out}/value_flow")
     stats = daily_stats.utxo_stat_daily(flow, run_date)
