@@ -266,6 +266,11 @@ def _relation(fn):
     return query
 
 
+def _distinct_relation(fn):
+    """Weights that are equal after rounding are one row, as in the statement."""
+    return lambda spark, sf: _relation(fn)(spark, sf).distinct()
+
+
 def _taint(spark, sf):
     return taint.taint_propagation(
         src.utxo_transactions(spark, sf), src.day_price(spark, sf), seed_tags(spark, sf), src.seed_labels(spark, sf)
@@ -589,8 +594,8 @@ def q_day_slice(spark, sf):
 
 _ALL: dict[str, Query] = {
     **{name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_")},
-    "taint_common_input": _relation(taint.common_input),
-    "taint_common_output": _relation(taint.common_output),
+    "taint_common_input": _distinct_relation(taint.common_input),
+    "taint_common_output": _distinct_relation(taint.common_output),
     "taint_direct_source": _relation(taint.direct_source),
     "taint_direct_dest": _relation(taint.direct_dest),
     "taint_indirect_source": _relation(taint.indirect_source),
