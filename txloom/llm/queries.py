@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from txloom.llm import packing, records
+from txloom.llm import bpe, licenses, packing, pii, records, repetition
 from txloom.llm.shared import session, shared_folder, table
 from txloom.llm.tokens import read_tokenizer
 
@@ -34,11 +34,43 @@ def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_matches(table(spark, sf_dir, "documents"))
+
+
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.read_ranks(public_tokenizers.path(RANKS))
+    back = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks)
+    return back.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
+
+
+def op5_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("text").alias("before"))
+    made = pii.pseudonymise(docs)
+    return made.select("doc_id", "text", pii.replaced(F.col("before"), F.col("text")).alias("n_replaced"))
+
+
+def op8_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.repetition(table(spark, sf_dir, "documents"))
+
+
 def op9_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), _tokenizer(), END_ID))
 
 
-_ALL: list[Callable[[SparkSession, str], DataFrame]] = [op1_token_records, op9_packed_sequences]
+_ALL: list[Callable[[SparkSession, str], DataFrame]] = [
+    op1_token_records,
+    op2_license_scan,
+    op3_byte_bpe,
+    op5_pseudonyms,
+    op8_repetition_rules,
+    op9_packed_sequences,
+]
 
 
 def _over(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -47,4 +79,4 @@ def _over(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: _over(q) for q in _ALL}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op2_license_scan": licenses.duckdb_sql()}
