@@ -1,21 +1,25 @@
-"""Token ids of whole texts by a tokenizer file.
+"""Token ids of whole texts by a tokenizer file with byte-level BPE.
 
-The pre-tokenizer pattern of byte-level BPE never joins text across a space that has a non-space
-beside it: the token before such a space ends there and the space starts the next one. A text may
-be cut at these spaces, each piece encoded alone, and the ids laid end to end. A worker therefore
-encodes a piece once and remembers its packed ids; most of a corpus is lookups.
+The pattern that splits text before the merges never joins text across a space that has a non-space
+beside it: what comes before such a space ends there and the space starts the next pre-token. A text
+may be cut at these spaces and the ids of its pieces laid end to end. A worker encodes a piece once and
+remembers its packed ids; most of a corpus is lookups.
 """
 
 from __future__ import annotations
 
-import os
+import json
 import re
 from array import array
 
+import regex
+
 UNSAFE = re.compile(r"\s (?=\s|\Z)")
 CUT = re.compile(r"(?=(?<=\S) | (?=\S))")
-MEMO_ENTRIES = 250_000
-ENCODE_AT_ONCE = 4096
+#: Pieces that a worker remembers (some 200 bytes each); as many older ones are kept until the next turn.
+MEMO_ENTRIES = 400_000
+# Fixed value: the pattern of byte-level pre-tokenizers.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 def pieces(text: str) -> list[str]:
@@ -26,34 +30,79 @@ def pieces(text: str) -> list[str]:
     return [first, *[" " + x for x in rest]]
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters that stand for bytes in the vocabulary: visible Latin-1 for itself, the rest from 256 on."""
+    visible = {*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)}
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
 class TokenEncoder:
     """Packed little-endian unsigned 32-bit ids of texts. A null text is empty; special tokens are ordinary text."""
 
     def __init__(self, tokenizer_json: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True
-        self.memo: dict[str, bytes] = {"": b""}
-
-    def _learn(self, new: list[str]) -> None:
-        if len(self.memo) + len(new) > MEMO_ENTRIES:
-            self.memo = {"": b""}
-        for at in range(0, len(new), ENCODE_AT_ONCE):
-            part = new[at : at + ENCODE_AT_ONCE]
-            for piece, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.memo[piece] = array("I", found.ids).tobytes()
+        form = json.loads(tokenizer_json)
+        before = form["pre_tokenizer"] or {}
+        if form["normalizer"] or before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex"):
+            raise ValueError("only tokenizers with byte-level pre-tokens and no normalizer can be encoded by pieces")
+        self.tokenize = Tokenizer.from_str(tokenizer_json).model.tokenize
+        self.split, self.letters = regex.compile(PATTERN).findall, _byte_letters()
+        self.space = self.letters[ord(" ")]
+        #: Ids of a space and the part, by a part that begins with a non-space. A full generation becomes the
+        #: older one, what is still asked for moves on.
+        self.spaced: dict[str, bytes] = {}
+        self.spaced_before: dict[str, bytes] = {}
+        #: Ids of other pre-tokens.
+        self.other: dict[str, bytes] = {}
+
+    def _merged(self, pretoken: str) -> bytes:
+        letters = pretoken.encode().decode("latin-1").translate(self.letters)
+        return array("I", [x.id for x in self.tokenize(letters)]).tobytes()
+
+    def _pretoken(self, pretoken: str) -> bytes:
+        if pretoken[0] == " " and pretoken[1:].isalpha():
+            return self.spaced.get(pretoken[1:]) or self._spaced(pretoken[1:])
+        ids = self.other.get(pretoken)
+        if ids is None:
+            if len(self.other) >= MEMO_ENTRIES // 4:
+                self.other.clear()
+            ids = self.other[pretoken] = self._merged(pretoken)
+        return ids
+
+    def _piece(self, piece: str) -> bytes:
+        return b"".join(map(self._pretoken, self.split(piece)))
+
+    def _spaced(self, part: str) -> bytes:
+        ids = self.spaced_before.get(part)
+        if ids is None:
+            if not part.isalpha():
+                ids = self._piece(" " + part)
+            elif part.isascii():
+                ids = array("I", [x.id for x in self.tokenize(self.space + part)]).tobytes()
+            else:
+                ids = self._merged(" " + part)
+        if len(self.spaced) >= MEMO_ENTRIES:
+            self.spaced_before, self.spaced = self.spaced, {}
+        self.spaced[part] = ids
+        return ids
 
     def pack(self, text: str | None) -> bytes:
-        cut = pieces(text or "")
-        out = list(map(self.memo.get, cut))
+        first, *parts = (text or "").split(" ")
+        out = list(map(self.spaced.get, parts))
         if None in out:
-            self._learn(list({x for x, known in zip(cut, out, strict=True) if known is None}))
-            again = [x for x, known in zip(cut, out, strict=True) if known is None]
-            found = iter([self.memo[x] for x in again])
-            out = [next(found) if known is None else known for known in out]
-        return b"".join(out)
+            for k, known in enumerate(out):
+                if known is None:
+                    part = parts[k]
+                    if part and not part[0].isspace():
+                        out[k] = self.spaced.get(part) or self._spaced(part)
+                    else:
+                        before = parts[k - 1] if k else first
+                        if before[-1:].isspace() or not (before or k == 0):
+                            return b"".join(map(self._piece, CUT.split(text)))
+                        out[k] = self._piece(" " + part)
+        return self._piece(first) + b"".join(out)
 
 
 _encoders: dict[int, TokenEncoder] = {}
