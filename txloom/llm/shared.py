@@ -28,11 +28,20 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/txloom-llm/{spark.sparkContext.applicationId}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """`df` written to a table of its own in the shared folder and read back: lineage ends here."""
+def stored(df: DataFrame, name: str, bucketed: tuple[int, str] | None = None) -> DataFrame:
+    """`df` written to a table of its own in the shared folder and read back: lineage ends here.
+
+    `bucketed` (buckets, column): later groupings by the column need no shuffle of this table.
+    """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    unique = uuid4().hex
+    path = f"{shared_folder(spark)}/{name}-{unique}"
+    writer = df.write.option("compression", "zstd")
+    if bucketed:
+        named = f"llm_{name.replace('-', '_')}_{unique}"
+        writer.bucketBy(*bucketed).option("path", path).saveAsTable(named)
+        return spark.table(named)
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
