@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from txloom.llm import bpe, licenses, packing, pii, records, repetition, toxicity
+from txloom.llm import ann, bpe, licenses, packing, pii, records, repetition, toxicity
 from txloom.llm.shared import session, shared_folder, table
 from txloom.llm.tokens import read_tokenizer
 
@@ -69,6 +69,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op8_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition(table(spark, sf_dir, "documents"))
 
@@ -83,6 +87,7 @@ _ALL: list[Callable[[SparkSession, str], DataFrame]] = [
     op3_byte_bpe,
     op5_pseudonyms,
     op6_toxicity,
+    op7_neighbours,
     op8_repetition_rules,
     op9_packed_sequences,
 ]
