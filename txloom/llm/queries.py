@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from txloom.llm import ann, bpe, licenses, packing, pii, records, repetition, toxicity
+from txloom.llm import ann, bpe, jaccard, licenses, packing, pii, records, repetition, toxicity
 from txloom.llm.shared import session, shared_folder, table
 from txloom.llm.tokens import read_tokenizer
 
@@ -49,6 +49,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op5_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("text").alias("before"))
     made = pii.pseudonymise(docs)
@@ -85,6 +89,7 @@ _ALL: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_token_records,
     op2_license_scan,
     op3_byte_bpe,
+    op4_jaccard_join,
     op5_pseudonyms,
     op6_toxicity,
     op7_neighbours,
