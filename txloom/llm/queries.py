@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from txloom.llm import ann, bpe, jaccard, licenses, packing, pii, records, repetition, toxicity
+from txloom.llm import ann, bpe, jaccard, licenses, packing, pii, records, repetition, suffixes, toxicity
 from txloom.llm.shared import session, shared_folder, table
 from txloom.llm.tokens import read_tokenizer
 
@@ -85,6 +85,10 @@ def op9_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), _tokenizer(), END_ID))
 
 
+def op10_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeated_spans(table(spark, sf_dir, "documents"))
+
+
 _ALL: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_token_records,
     op2_license_scan,
@@ -95,6 +99,7 @@ _ALL: list[Callable[[SparkSession, str], DataFrame]] = [
     op7_neighbours,
     op8_repetition_rules,
     op9_packed_sequences,
+    op10_repeated_spans,
 ]
 
 
