@@ -12,7 +12,7 @@ from txloom.session import configure  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]")
         .appName("tests")
@@ -20,6 +20,8 @@ def spark():
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('shared')}")
+        .config("spark.sql.warehouse.dir", f"file://{tmp_path_factory.mktemp('warehouse')}")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

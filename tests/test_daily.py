@@ -36,8 +36,9 @@ def test_utxo_run_by_day_equals_one_run(spark, tmp_path):
     columns = ("hash", "address", "net_usd_value", "partition_date")
     assert rows(read("days", "value_flow"), *columns) == rows(read("once", "value_flow"), *columns)
     assert read("once", "value_flow").count() == 9
-    recent = read("once", "stat_daily").where(F.col("block_date") >= "2021-08-01")
-    assert rows(read("days", "stat_daily").where(F.col("block_date") >= "2021-08-01"), "address", "tx_cnt") == rows(recent, "address", "tx_cnt")
+    every = rows(read("once", "stat_daily"), "address", "block_date", "tx_cnt")
+    assert rows(read("days", "stat_daily"), "address", "block_date", "tx_cnt") == every
+    assert {str(r[1])[:4] for r in every} == {"2015", "2021"}
     tags = read("days", "large_value/v=2021-08-03")
     assert tags.count() == tags.distinct().count() > 0
 
@@ -79,3 +80,24 @@ def test_account_runs(spark, tmp_path):
     for run in (date(2021, 8, 2), date(2021, 8, 3)):
         users = daily.protocol_tables(tables, str(tmp_path), run)
     assert rows(users, "table", "address") == [("aave_borrower", "a")]
+
+
+def test_a_day_that_lost_its_rows_is_emptied(spark, tmp_path):
+    tables = _utxo(spark)
+    for run in (date(2021, 8, 2), date(2021, 8, 3)):
+        daily.utxo_facts(tables, str(tmp_path), run)
+    gone = tables | {"utxo_transactions": tables["utxo_transactions"].where(F.col("block_timestamp") < "2021-08-02")}
+    daily.utxo_facts(gone, str(tmp_path), date(2021, 8, 3))
+    for name, column in (("value_flow", "partition_date"), ("stat_daily", "block_date")):
+        stored = spark.read.parquet(f"{tmp_path}/{name}")
+        assert {str(r[0]) for r in stored.select(column).distinct().collect()} == {"2021-08-01"}
+
+
+def test_large_value_before_2016(spark):
+    from txloom.operators import large_value, value_flow
+
+    tables = _utxo(spark)
+    flow = value_flow.utxo_value_flow(tables["utxo_transactions"], tables["day_price"])
+    tags = lambda d: rows(large_value.utxo_large_value(flow, d), "address")
+    assert len(tags(date(2015, 5, 21))) > 0
+    assert tags(date(2015, 5, 22)) == []

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from txloom.functions.relations import small_side
+from txloom.plans.sample_queries import QUERIES
 from txloom.sources import derived
 
 SF = "/root/testdata/sf0.001"
@@ -16,16 +16,6 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_small_side_hints_only_within_the_bound(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        left, right = spark.range(100), spark.range(1000)
-        assert "Broadcast" in plan_of(left.join(small_side(right), "id"))
-        assert "Broadcast" not in plan_of(left.join(small_side(right, max_rows=999), "id"))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 @pytest.mark.parametrize("name", ["taint_indirect_dest", "stat_daily_token", "transfers_utxo", "protocol_all_specs", "fast_tx_utxo", "frequent_io"])
 def test_results_do_not_depend_on_join_strategy_or_partitions(spark, name):
     query = entry.queries()[name]
@@ -41,7 +31,7 @@ def test_results_do_not_depend_on_join_strategy_or_partitions(spark, name):
         spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_and_no_nested_loops(spark, name):
     plan = plan_of(entry.queries()[name](spark, SF))
     for operator in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):

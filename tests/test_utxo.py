@@ -96,16 +96,15 @@ def test_coinjoin_score_uses_largest_value_and_keeps_stored(spark, price):
     assert got["old"] == 0.25
 
 
-@pytest.mark.parametrize("wide", [0, 10_000])
-def test_fast_tx_same_for_wide_transactions(spark, wide):
+def test_fast_tx_pairs(spark):
     tx = utxo_tx(
         spark,
         *[{"hash": f"t{b}", "block": b, "inputs": [inp(1, "s"), inp(1, f"x{b}")], "outputs": [out(0, 1, "r"), out(1, 1, f"y{b}")]} for b in (1, 50, 100)],
         *[{"hash": f"u{b}", "block": b, "inputs": [inp(1, "p")], "outputs": [out(0, 1, "q")]} for b in (1, 3, 6)],
     )
-    reference = rows(fast_tx.utxo_fast_tx(tx, wide_pairs=wide), "address", "idx")
+    reference = rows(fast_tx.utxo_fast_tx(tx), "address", "idx")
     assert reference == [("p", 3), ("q", 1), ("q", 2), ("r", 1), ("r", 2), ("s", 3)]
-    assert rows(fast_tx.utxo_fast_tx(tx, gap="elapsed", wide_pairs=wide), "address", "idx") == [("p", 3), ("q", 1), ("q", 2)]
+    assert rows(fast_tx.utxo_fast_tx(tx, gap="elapsed"), "address", "idx") == [("p", 3), ("q", 1), ("q", 2)]
 
 
 def test_high_fee_and_new_only_key(spark):

@@ -12,7 +12,6 @@ from txloom.functions.columns import (
 from txloom.functions.relations import (
     accumulate,
     new_only,
-    small_side,
     tag_rows,
     union_distinct,
 )
@@ -31,7 +30,6 @@ __all__ = [
     "new_only",
     "previous_row_means",
     "safe_numeric",
-    "small_side",
     "tag_rows",
     "union_distinct",
 ]

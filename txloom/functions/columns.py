@@ -53,6 +53,22 @@ def flow_partition(ts: Column | str) -> Column:
     return F.when(day < F.lit(COARSE_BEFORE), F.trunc(day, "MM")).otherwise(day)
 
 
+def flow_day_slice(flow: DataFrame, run_date: date | None) -> DataFrame:
+    """The rows of the day before `run_date` in a table partitioned by `flow_partition`; every row without a run date.
+
+    Equality on the partition prunes folders, the bounds on the time pick the day from a month of old flow.
+    """
+    if run_date is None:
+        return flow
+    day = run_date - timedelta(days=1)
+    partition = day.replace(day=1) if day < COARSE_BEFORE else day
+    return flow.where(
+        (F.col("partition_date") == F.lit(partition))
+        & (F.col("block_timestamp") >= F.lit(day))
+        & (F.col("block_timestamp") < F.lit(run_date))
+    )
+
+
 def _hex_tail(text: Column) -> Column:
     return F.conv(F.substring(text, -3, 3), 16, 10).cast("int") % BUCKETS
 

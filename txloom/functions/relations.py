@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SMALL_ROWS = 200_000  # most rows a hinted broadcast side may hold
 TAG_COLUMNS = ("address", "feature", "name", "plots", "idx")
 
 
@@ -45,28 +44,3 @@ def tag_rows(
         as_col(plots).alias("plots"),
         as_col(idx).cast("int").alias("idx"),
     )
-
-
-def planned_bytes(df: DataFrame) -> int | None:
-    """Size the optimizer expects for `df`; None when the session does not expose its plans."""
-    jdf = getattr(df, "_jdf", None)
-    if jdf is None:
-        return None
-    return int(str(jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Mark `df` for broadcast if it is proven to hold at most `max_rows` rows.
-
-    Where the expected size is below Spark's own broadcast threshold nothing is done, Spark will
-    broadcast by itself. Otherwise a count that stops at `max_rows + 1` rows decides. Above the
-    bound `df` comes back unmarked and Spark joins by shuffle, splitting skewed keys at run time.
-    """
-    threshold = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    size = planned_bytes(df)
-    digits = threshold.rstrip("bB")
-    if size is not None and digits.isdigit() and size <= int(digits):
-        return df
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df

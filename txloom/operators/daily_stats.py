@@ -12,7 +12,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txloom.functions.columns import day_of, day_slice, hex_bucket, md5_bucket
+from txloom.functions.columns import day_of, day_slice, flow_day_slice, hex_bucket, md5_bucket
 
 ENDPOINT_FIELDS = ("hash", "block_timestamp", "block_num", "value", "usd_value")
 
@@ -50,7 +50,7 @@ def utxo_stat_daily(value_flow: DataFrame, run_date: date | None = None) -> Data
     is_in, is_out = net > 0, net < 0
     one = lambda cond: F.sum(F.when(cond, 1).otherwise(0))
     total = lambda cond, v: F.sum(F.when(cond, v).otherwise(F.lit(0.0)))
-    daily = day_slice(value_flow, run_date, column="partition_date").where(is_in | is_out)
+    daily = flow_day_slice(value_flow, run_date).where(is_in | is_out)
     stats = daily.groupBy("address", day_of("block_timestamp").alias("block_date")).agg(
         one(is_in).alias("in_tx_cnt"),
         total(is_in, net).alias("in_tx_value"),

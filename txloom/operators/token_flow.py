@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txloom.functions.columns import ZERO_ADDRESS, day_of, day_slice, safe_numeric
-from txloom.functions.relations import small_side, union_all, union_distinct
+from txloom.functions.relations import union_all, union_distinct
 
 TRANSFER_SELECTOR = "0xa9059cbb"  # fixed value: call of a token's own transfer method
 WEI_DIGITS = 18
@@ -63,7 +63,7 @@ def with_native_price(transfers: DataFrame, token_price: DataFrame) -> DataFrame
     """Add usd_value from the native coin's day price, 0 where there is none."""
     native = token_price.where(F.col("address") == ZERO_ADDRESS).select(F.col("price_day").alias("_day"), "price")
     return (
-        transfers.join(small_side(native), day_of("block_timestamp") == F.col("_day"), "left")
+        transfers.join(F.broadcast(native), day_of("block_timestamp") == F.col("_day"), "left")
         .withColumn("usd_value", F.col("value") * F.coalesce(F.col("price"), F.lit(0.0)))
         .drop("_day", "price")
     )
@@ -120,7 +120,7 @@ def direct_token_transfers(
     units = amount / F.pow(F.lit(10.0), digits) if scale == "divide" else amount * F.pow(F.lit(10.0), -digits)
     return (
         day_slice(token_transfers, run_date)
-        .join(small_side(tokens), "token_address")
+        .join(tokens, "token_address")
         .join(calls, "transaction_hash", "left_semi")
         .select(
             "transaction_hash",
@@ -157,12 +157,12 @@ def priced_transfers(
         native = native.join(successful.select(F.col("hash").alias("transaction_hash")), "transaction_hash", "left_semi")
     # all native transfers share one token address; they join on the day alone, a row per day
     native = native.withColumn("_day", day_of("block_timestamp")).join(
-        small_side(prices.where(F.col("token_address") == ZERO_ADDRESS)), "_day"
+        F.broadcast(prices.where(F.col("token_address") == ZERO_ADDRESS)), "_day"
     ).withColumn("symbol", F.lit("eth"))
     tokens = (
         direct_token_transfers(token_transfers, tx, valid_tokens(token_price, decimals), run_date)
         .withColumn("_day", day_of("block_timestamp"))
-        .join(small_side(prices.where(F.col("token_address") != ZERO_ADDRESS)), ["token_address", "_day"])
+        .join(prices.where(F.col("token_address") != ZERO_ADDRESS), ["token_address", "_day"])
     )
     return (
         union_all([native, tokens.select(*native.columns)])

@@ -9,7 +9,7 @@ from txloom.functions.columns import ZERO_ADDRESS, hex_bucket, md5_bucket
 from txloom.functions.relations import union_all
 from txloom.operators.token_flow import native_transfers, receipt_status, with_native_price
 
-MAX_SIDE = 100  # transactions with this many on both sides are left out
+MAX_SIDE = 100  # fixed value: the published guard
 
 
 def _measures(where: Column | None = None) -> list[Column]:
@@ -29,6 +29,7 @@ def _measures(where: Column | None = None) -> list[Column]:
     ]
 
 
+# Output columns.
 MEASURES = (
     "to_amount",
     "to_amount_usd",
@@ -46,28 +47,42 @@ MEASURES = (
 )
 
 
-def utxo_transfers(value_flow: DataFrame) -> DataFrame:
+def _side_totals(value_flow: DataFrame) -> DataFrame:
+    """Per transaction: how many addresses lose and gain, and how much."""
+    net, usd = F.col("net_value"), F.col("net_usd_value")
+    return value_flow.groupBy("hash").agg(
+        F.count(F.when(net < 0, 1)).alias("in_cnts"),
+        F.sum(F.when(net < 0, -net).otherwise(F.lit(0.0))).alias("in_total"),
+        F.count(F.when(net > 0, 1)).alias("out_cnts"),
+        F.sum(F.when(net > 0, net).otherwise(F.lit(0.0))).alias("out_total"),
+        F.sum(F.when(usd > 0, usd).otherwise(F.lit(0.0))).alias("out_usd_total"),
+    )
+
+
+def _within_guard(max_side: int | None) -> Column:
+    if max_side is None:
+        return F.lit(True)
+    few = (F.col("in_cnts") < max_side) & (F.col("out_cnts") < max_side)
+    return (F.col("in_cnts") == 1) | (F.col("out_cnts") == 1) | few
+
+
+def utxo_transfers_left_out(value_flow: DataFrame, max_side: int = MAX_SIDE) -> DataFrame:
+    """The transactions that `utxo_transfers` leaves out: hash, both counts, both totals."""
+    left_out = _side_totals(value_flow).where(~_within_guard(max_side))
+    return left_out.select("hash", "in_cnts", "out_cnts", "in_total", "out_total", "out_usd_total")
+
+
+def utxo_transfers(value_flow: DataFrame, max_side: int | None = MAX_SIDE) -> DataFrame:
     """Edges between addresses: each sender's net loss split over the receivers by their net gains.
 
-    A transaction takes part if it has one sender, one receiver, or fewer than 100 of each, which
-    bounds its pairs. The guard is applied to per-transaction totals before any pair is made, and
-    totals, senders and receivers are all partitioned by hash.
+    A transaction takes part if it has one sender, one receiver, or fewer than `max_side` of each, as
+    published; `utxo_transfers_left_out` lists the others, None leaves out nothing. The guard is applied to
+    per-transaction totals before any pair is made, and totals, senders and receivers are all partitioned by hash.
     """
-    net, usd = F.col("net_value"), F.col("net_usd_value")
+    net = F.col("net_value")
     totals = (
-        value_flow.groupBy("hash")
-        .agg(
-            F.count(F.when(net < 0, 1)).alias("in_cnts"),
-            F.sum(F.when(net < 0, -net).otherwise(F.lit(0.0))).alias("in_total"),
-            F.count(F.when(net > 0, 1)).alias("out_cnts"),
-            F.sum(F.when(net > 0, net).otherwise(F.lit(0.0))).alias("out_total"),
-            F.sum(F.when(usd > 0, usd).otherwise(F.lit(0.0))).alias("out_usd_total"),
-        )
-        .where(
-            (F.col("in_cnts") == 1)
-            | (F.col("out_cnts") == 1)
-            | ((F.col("in_cnts") < MAX_SIDE) & (F.col("out_cnts") < MAX_SIDE))
-        )
+        _side_totals(value_flow)
+        .where(_within_guard(max_side))
         # a transaction without positive net pairs with nothing, so 0/0 need not fail
         .select("hash", "in_total", F.try_divide("out_usd_total", "out_total").alias("price"))
     )

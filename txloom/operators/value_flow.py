@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txloom.functions.columns import DROPPED_TYPES, day_of, day_slice, flow_partition
-from txloom.functions.relations import small_side, union_all
+from txloom.functions.relations import union_all
 
 COIN = 1e-8  # coins per smallest unit
 
@@ -32,9 +32,9 @@ def daily_close(klines: DataFrame, backfill: DataFrame | None = None, symbol: st
 
 
 def with_day_price(df: DataFrame, price: DataFrame, how: str = "left") -> DataFrame:
-    """Join the price of the day of `block_timestamp`. The price table has about a row per day."""
+    """Join the price of the day of `block_timestamp`. The price table has a row per day, so it is sent to all tasks."""
     by_day = price.select(day_of("price_timestamp").alias("_price_day"), F.col("price"))
-    return df.join(small_side(by_day), day_of("block_timestamp") == F.col("_price_day"), how).drop("_price_day")
+    return df.join(F.broadcast(by_day), day_of("block_timestamp") == F.col("_price_day"), how).drop("_price_day")
 
 
 def _shares(side: str, is_output: bool) -> Column:

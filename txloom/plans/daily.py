@@ -12,7 +12,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txloom.functions.columns import COARSE_BEFORE
+from txloom.functions.columns import COARSE_BEFORE, MONTH_COLUMN
 from txloom.operators import (
     coinjoin,
     daily_stats,
@@ -38,14 +38,19 @@ def utxo_facts(tables: Tables, out: str, run_date: date | None = None) -> None:
     if run_date and run_date - timedelta(days=1) < COARSE_BEFORE:
         # the day's partition is its month; it is replaced as a whole, so it is rebuilt as a whole
         month = (run_date - timedelta(days=1)).replace(day=1)
-        of_month = F.trunc(F.to_date("block_timestamp"), "MM") == F.lit(month)
+        after = (month + timedelta(days=31)).replace(day=1)
+        of_month = (F.col("block_timestamp") >= F.lit(month)) & (F.col("block_timestamp") < F.lit(after))
+        if MONTH_COLUMN in tx.columns:
+            of_month = of_month & (F.col(MONTH_COLUMN) == F.lit(month))
         flow = value_flow.utxo_value_flow(tx.where(of_month), tables["day_price"])
     else:
         flow = value_flow.utxo_value_flow(tx, tables["day_price"], run_date)
-    sinks.reload_partitions(flow, f"{out}/value_flow", "partition_date", spread=["hash"])
+    day = run_date - timedelta(days=1) if run_date else None
+    partition = day.replace(day=1) if day and day < COARSE_BEFORE else day
+    sinks.reload_partitions(flow, f"{out}/value_flow", "partition_date", ["hash"], [partition] if run_date else None)
     flow = spark.read.parquet(f"{out}/value_flow")
     stats = daily_stats.utxo_stat_daily(flow, run_date)
-    sinks.reload_partitions(stats, f"{out}/stat_daily", "block_date", spread=["addr_pt", "address"])
+    sinks.reload_partitions(stats, f"{out}/stat_daily", "block_date", ["addr_pt", "address"], [day] if run_date else None)
     version = run_date.isoformat() if run_date else "all"
     sinks.update_snapshot(
         spark,
@@ -88,7 +93,8 @@ def account_facts(tables: Tables, out: str, run_date: date | None = None) -> Non
     """Succeeded native transfers and token statistics for one day (or all days)."""
     tx, price, late = tables["account_transactions"], tables["token_price"], tables["status_backfill"]
     moved = token_flow.succeed_transfers(tables["traces"], tx, price, late, run_date)
-    sinks.reload_partitions(moved, f"{out}/succeed_transfers", "pt", spread=["hash"])
+    days = [run_date - timedelta(days=1)] if run_date else None
+    sinks.reload_partitions(moved, f"{out}/succeed_transfers", "pt", ["hash"], days)
     transfers = token_flow.priced_transfers(
         tables["traces"],
         tables["token_transfers"],
@@ -99,7 +105,7 @@ def account_facts(tables: Tables, out: str, run_date: date | None = None) -> Non
         successful=token_flow.successful_tx(tx, late),
     )
     stats = daily_stats.token_stat_daily(transfers, tx, run_date)
-    sinks.reload_partitions(stats, f"{out}/token_stat_daily", "block_date", spread=["addr_pt", "address"])
+    sinks.reload_partitions(stats, f"{out}/token_stat_daily", "block_date", ["addr_pt", "address"], days)
 
 
 def account_risk(tables: Tables, union_tags: DataFrame, out: str, now: datetime) -> DataFrame:

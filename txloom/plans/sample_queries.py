@@ -94,7 +94,7 @@ def flow(spark: SparkSession, sf: str) -> DataFrame:
 
 def stored_flow(spark: SparkSession, sf: str) -> DataFrame:
     """The value-flow table as its daily job leaves it; marts and tags read the stored table."""
-    return staged(spark, src._key(sf, "value_flow"), lambda: flow(spark, sf))
+    return staged(spark, src._key(spark, sf, "value_flow"), lambda: flow(spark, sf))
 
 
 def q_utxo_value_flow(spark, sf):
@@ -251,7 +251,7 @@ def q_account_inactivity_bootstrap(spark, sf):
 def seed_tags(spark: SparkSession, sf: str) -> DataFrame:
     """Curated labels and mixers; stored, because every relation of the propagation reads it."""
     build = lambda: tag_views.utxo_seed_tags(src.seed_labels(spark, sf), _mixers(spark, sf))
-    return staged(spark, src._key(sf, "seed_tags"), build)
+    return staged(spark, src._key(spark, sf, "seed_tags"), build)
 
 
 def q_tags_seed_view(spark, sf):
@@ -334,8 +334,8 @@ def _score_columns(df: DataFrame) -> DataFrame:
 
 def q_score_utxo(spark, sf):
     """Labels, exposure and behaviour tags to score. Tag tables are stored between the jobs."""
-    propagated = staged(spark, src._key(sf, "utxo_propagated"), lambda: _taint(spark, sf))
-    tags = staged(spark, src._key(sf, "utxo_union_tags"), lambda: utxo_tags(spark, sf))
+    propagated = staged(spark, src._key(spark, sf, "utxo_propagated"), lambda: _taint(spark, sf))
+    tags = staged(spark, src._key(spark, sf, "utxo_union_tags"), lambda: utxo_tags(spark, sf))
     return _score_columns(score.utxo_address_score(propagated, tags, src.risk_weights(spark), NOW))
 
 
@@ -514,7 +514,7 @@ def stored_user_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     build = lambda: union_all(
         [df.select("address", F.lit(n).alias("table")) for n, df in user_tables(spark, sf, names).items()]
     )
-    found = staged(spark, src._key(sf, "protocol_users"), build)
+    found = staged(spark, src._key(spark, sf, "protocol_users"), build)
     return {n: found.where(F.col("table") == n) for n in names}
 
 
@@ -553,8 +553,8 @@ def q_tags_union_account(spark, sf):
 
 def q_score_account(spark, sf):
     labels = src.account_labels(spark, sf)
-    transfers = staged(spark, src._key(sf, "succeed_transfers"), lambda: _succeeded(spark, sf))
-    tags = staged(spark, src._key(sf, "account_union_tags"), lambda: account_tags(spark, sf))
+    transfers = staged(spark, src._key(spark, sf, "succeed_transfers"), lambda: _succeeded(spark, sf))
+    tags = staged(spark, src._key(spark, sf, "account_union_tags"), lambda: account_tags(spark, sf))
     propagated = taint.account_exposure(transfers, labels)
     return _score_columns(score.account_address_score(labels, propagated, tags, src.risk_weights(spark), NOW))
 

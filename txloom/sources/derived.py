@@ -6,7 +6,6 @@ output arrays hold one order's lines. All tables grow with the files they are de
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable
 from datetime import date
 
@@ -26,7 +25,7 @@ from txloom.operators.protocols import (
 )
 from txloom.operators.value_flow import daily_close
 from txloom.operators.token_flow import token_price_daily
-from txloom.sources.staging import staged
+from txloom.sources.staging import files_key, staged
 
 EPOCH = date(1995, 1, 1)  # day of block 0
 TOKENS = 20
@@ -52,13 +51,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _key(sf_dir: str, name: str) -> str:
-    return f"{name}-{zlib.crc32(str(sf_dir).encode()):08x}"
+def _key(spark: SparkSession, sf_dir: str, name: str) -> str:
+    return f"{name}-{files_key(spark, sf_dir)}"
 
 
-def _raw(spark: SparkSession, sf_dir: str, name: str, build: Callable[[SparkSession, str], DataFrame], base: str) -> DataFrame:
+def _raw(spark: SparkSession, sf_dir: str, name: str, build: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
     """A raw chain table, written once per application as a chain export leaves it."""
-    return staged(spark, _key(sf_dir, name), lambda: build(spark, sf_dir), source=table(spark, sf_dir, base))
+    return staged(spark, _key(spark, sf_dir, name), lambda: build(spark, sf_dir), even=True)
 
 
 def _md5(prefix: str, n: Column) -> Column:
@@ -150,7 +149,7 @@ def _build_utxo_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def utxo_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested transactions: order k pays its own lines and spends the lines of order k - 1."""
-    return _raw(spark, sf_dir, "utxo_transactions", _build_utxo_transactions, "lineitem")
+    return _raw(spark, sf_dir, "utxo_transactions", _build_utxo_transactions)
 
 
 def _close(day: Column) -> Column:
@@ -187,7 +186,7 @@ def price_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def day_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     build = lambda: daily_close(klines(spark, sf_dir), price_backfill(spark, sf_dir))
-    return staged(spark, _key(sf_dir, "day_price"), build)
+    return staged(spark, _key(spark, sf_dir, "day_price"), build)
 
 
 def seed_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -373,7 +372,7 @@ def token_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     build = lambda: token_price_daily(
         token_price_history(spark, sf_dir), token_price_current(spark, sf_dir)
     )
-    return staged(spark, _key(sf_dir, "token_price"), build)
+    return staged(spark, _key(spark, sf_dir, "token_price"), build)
 
 
 def account_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -392,20 +391,20 @@ def miner_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def account_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _raw(spark, sf_dir, "account_transactions", _build_account_transactions, "orders")
+    return _raw(spark, sf_dir, "account_transactions", _build_account_transactions)
 
 
 def traces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _raw(spark, sf_dir, "traces", _build_traces, "lineitem")
+    return _raw(spark, sf_dir, "traces", _build_traces)
 
 
 def token_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _raw(spark, sf_dir, "token_transfers", _build_token_transfers, "lineitem")
+    return _raw(spark, sf_dir, "token_transfers", _build_token_transfers)
 
 
 def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _raw(spark, sf_dir, "logs", _build_logs, "events")
+    return _raw(spark, sf_dir, "logs", _build_logs)
 
 
 def protocol_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _raw(spark, sf_dir, "protocol_events", _build_protocol_events, "events")
+    return _raw(spark, sf_dir, "protocol_events", _build_protocol_events)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -16,14 +17,32 @@ def reload(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
 
 
-def reload_partitions(df: DataFrame, path: str, partition_by: str, spread: Sequence[str] = ()) -> None:
-    """Replace only the partitions that `df` has rows for, so a repeated run leaves the same table.
+def reload_partitions(
+    df: DataFrame, path: str, partition_by: str, spread: Sequence[str] = (), values: Sequence[object] | None = None
+) -> None:
+    """Replace whole partitions, so a repeated run leaves the same table.
 
-    A coarse partition (a month of old value flow) must be rebuilt whole. Ranges over
-    the partition column and `spread` keep a small day in few files and split a big one over tasks.
+    `values` are the partitions the run answers for: each is replaced, also by nothing. Without them
+    those that `df` has rows for are replaced. A coarse partition (a month of old value flow) must be
+    rebuilt whole. Adaptive execution splits and merges the partitions to files of even size.
     """
-    df = df.repartitionByRange(partition_by, *spread)
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path)
+    placed = df.hint("rebalance", partition_by, *spread)
+    if values is not None:
+        _drop_partitions(df.sparkSession, path, partition_by, values)
+        placed = placed.where(F.col(partition_by).isin([str(v) for v in values]) if _is_text(df, partition_by) else F.col(partition_by).isin(list(values)))
+    placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path)
+
+
+def _is_text(df: DataFrame, column: str) -> bool:
+    return df.schema[column].dataType.simpleString() == "string"
+
+
+def _drop_partitions(spark: SparkSession, path: str, partition_by: str, values: Sequence[object]) -> None:
+    """Delete the folders of partitions. The run that follows writes them anew; if it is lost it is repeated."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for value in values:
+        folder = hadoop.Path(f"{path}/{partition_by}={value}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def write_bucketed(df: DataFrame, path: str, cluster_by: Sequence[str], bucket: str = "pt", files: int | None = None) -> None:

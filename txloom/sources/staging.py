@@ -6,30 +6,22 @@ pruning and filter pushdown.
 
 from __future__ import annotations
 
-import tempfile
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txloom.functions.relations import planned_bytes
+SETTING = "spark.checkpoint.dir"
 
-FILE_BYTES = 128 << 20
-
-_test_roots: dict[str, str] = {}
 _staged: dict[tuple[str, str], tuple[str, object]] = {}
 
 
-def staging_root(spark: SparkSession) -> str | None:
-    """Shared folder named by the session. A local session without one gets a new folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return f"{root.rstrip('/')}/txloom/{spark.sparkContext.applicationId}"
-    if not spark.sparkContext.master.startswith("local"):
-        return None
-    app = spark.sparkContext.applicationId
-    if app not in _test_roots:
-        _test_roots[app] = tempfile.mkdtemp(prefix="txloom-")
-    return _test_roots[app]
+def staging_root(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as the session names it."""
+    root = spark.conf.get(SETTING, None)
+    if not root:
+        raise ValueError(f"{SETTING} is not set: name a folder that driver and executors share")
+    return f"{root.rstrip('/')}/txloom/{spark.sparkContext.applicationId}"
 
 
 def _complete(spark: SparkSession, path: str) -> bool:
@@ -37,32 +29,24 @@ def _complete(spark: SparkSession, path: str) -> bool:
     return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
 
 
-def _even(df: DataFrame, source: DataFrame) -> DataFrame:
-    """`df` spread evenly over about a file per FILE_BYTES of the table it is made from.
-
-    The size of a scan is known; what the optimizer expects of a whole plan may be off by any factor.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(max(cores, (planned_bytes(source) or 0) // FILE_BYTES))
+def files_key(spark: SparkSession, folder: str) -> str:
+    """A short name of a folder and its files with their sizes and times: changed inputs have another."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(str(folder))
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [f"{s.getPath()} {s.getLen()} {s.getModificationTime()}" for s in fs.listStatus(path)] if fs.exists(path) else []
+    return f"{zlib.crc32(chr(10).join([str(folder), *sorted(found)]).encode()):08x}"
 
 
-def staged(
-    spark: SparkSession, name: str, build: Callable[[], DataFrame], source: DataFrame | None = None
-) -> DataFrame:
+def staged(spark: SparkSession, name: str, build: Callable[[], DataFrame], even: bool = False) -> DataFrame:
     """The table `name` of this application, built and written the first time it is asked for.
 
-    With `source`, the scan it is derived from, its files are even in size.
-
-    Without a shared folder to write to, the DataFrame is returned as it is built.
+    `even` leaves files of about one size, by a rebalance that adaptive execution sizes.
     """
-    root = staging_root(spark)
-    if root is None:
-        return build()
     key = (spark.sparkContext.applicationId, name)
     if key not in _staged or not _complete(spark, _staged[key][0]):
         df = build()
-        path = f"{root}/{name}"
-        (df if source is None else _even(df, source)).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        path = f"{staging_root(spark)}/{name}"
+        (df.hint("rebalance") if even else df).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
         _staged[key] = (path, df.schema)
     path, schema = _staged[key]
     return spark.read.schema(schema).parquet(path)

@@ -43,13 +43,15 @@ def run_inactivity(
     return inactivity.InactivityTables(read("state"), read("inactive"), read("periodic"))
 
 
-def run_address_totals(spark: SparkSession, root: str, tx: DataFrame, run_date: date) -> DataFrame:
+def run_address_totals(
+    spark: SparkSession, root: str, tx: DataFrame, run_date: date, null_fee_as_zero: bool = False
+) -> DataFrame:
     """Transaction counts and fees per address, increased by the day before `run_date`."""
     return update_snapshot(
         spark,
         root,
         run_date.isoformat(),
-        lambda kept: account_activity.address_tx_cnt_and_fee(tx, run_date, kept, null_fee_as_zero=True),
+        lambda kept: account_activity.address_tx_cnt_and_fee(tx, run_date, kept, null_fee_as_zero=null_fee_as_zero),
     )
 
 
