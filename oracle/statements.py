@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from oracle.tables import ZERO, statement
-from txloom.operators.protocols import (
+from oracle.specs import (
+    CATEGORIES,
     CURVE_TOPICS,
     ENS_HASH_REGISTERED,
     ENS_REGISTERED,
@@ -16,9 +16,10 @@ from txloom.operators.protocols import (
     UNISWAP_V2_ROUTERS,
     UNISWAP_V3_METHODS,
     UNISWAP_V3_ROUTER,
+    V2_POOL_TOPIC,
+    V3_POOL_TOPIC,
 )
-from txloom.operators.account_activity import V2_POOL_TOPIC, V3_POOL_TOPIC
-from txloom.operators.tag_views import CATEGORIES
+from oracle.tables import CTES, ZERO, statement
 
 NO_NAME = "null::varchar as name"
 
@@ -264,6 +265,9 @@ def _token_edges(pt: str) -> str:
     )
 
 
+_ORDERS = "select o_orderkey, o_custkey, o_orderstatus, o_totalprice::double as price from orders"
+
+
 def _utxo_new_only(source: str, plots: str) -> str:
     return f"select address, feature, '{plots}' as plots, idx from {source} where address not in (select address from old_addr)"
 
@@ -277,6 +281,7 @@ DAY_COLUMNS = {
     "account_inactivity_bootstrap": ["pt"],
     "stat_daily_utxo": ["block_date"],
     "stat_daily_token": ["block_date"],
+    "stat_daily_token_value": ["block_date"],
     "gas_ma": ["block_date"],
     "succeed_transfers": ["pt"],
     "token_price_daily": ["price_day"],
@@ -288,6 +293,11 @@ NUMBER_COLUMNS = {
     "stat_daily_token": [*_BLOCKS, "tx_cnt", "in_tx_cnt", "out_tx_cnt"],
     "transfers_utxo": ["transaction_cnt"],
     "transfers_utxo_2": ["transaction_cnt"],
+    "sink_second_order": ["transaction_cnt"],
+    "transfers_utxo_guard": ["transaction_cnt"],
+    "transfers_utxo_left_out": ["in_cnts", "out_cnts"],
+    "transfers_token_ranked": ["transaction_cnt"],
+    "stat_daily_token_value": [*_BLOCKS, "tx_cnt", "in_tx_cnt", "out_tx_cnt"],
     "transfers_token": ["transaction_cnt"],
     "transfers_token_2": ["transaction_cnt"],
 }
@@ -322,6 +332,8 @@ def oracle_sql() -> dict[str, str]:
         "fast_tx_utxo_elapsed": statement(f"select address, feature, {NO_NAME}, 'P111' as plots, idx from ({FAST.format(test=WITHIN_FIVE)})"),
         "high_fee_utxo": statement(_utxo_new_only("high_fee", "P113")),
         "large_value_utxo": statement(_utxo_new_only("large", "401")),
+        "large_value_utxo_by_tier": statement("""
+            select address, feature, '401' as plots, idx from large where idx <> 1 or address not in (select address from old_addr)"""),
         "coinbase_miners": statement("select distinct bn as block_number, unnest(addresses) as address from out_line where cb"),
         "frequent_io": statement("""
             select address, min(gap) as min_gap from (
@@ -360,6 +372,15 @@ def oracle_sql() -> dict[str, str]:
         "stat_daily_utxo": statement(STAT_UTXO),
         "transfers_utxo": _utxo_edges("src"),
         "transfers_utxo_2": _utxo_edges("dst"),
+        "sink_second_order": _utxo_edges("dst"),
+        "transfers_utxo_guard": _utxo_edges("src").replace("< 100 and count(*) filter (net > 0) < 100", "< 3 and count(*) filter (net > 0) < 3"),
+        "transfers_utxo_left_out": statement("""
+            select hash, count(*) filter (net < 0) as in_cnts, count(*) filter (net > 0) as out_cnts,
+              round(coalesce(sum(-net) filter (net < 0), 0), 6) as in_total, round(coalesce(sum(net) filter (net > 0), 0), 6) as out_total,
+              round(coalesce(sum(net * price) filter (net * price > 0), 0), 2) as out_usd_total
+            from flow group by hash
+            having count(*) filter (net < 0) <> 1 and count(*) filter (net > 0) <> 1
+              and (count(*) filter (net < 0) >= 3 or count(*) filter (net > 0) >= 3)"""),
         "score_utxo": _score(
             """select address, plots, idx, max(sub_weight) as w from taint group by address, plots, idx
                union all select distinct address, plots, idx, 1.0::double from utags""",
@@ -372,6 +393,12 @@ def oracle_sql() -> dict[str, str]:
               select address, count(*) as cnt, coalesce(sum(fee), 0) as fee from (
                 select src as address, 1e-18 * gas_price * gas as fee from etx union all select dst, null from etx)
               where address is not null group by address) b using (address)"""),
+        "tx_cnt_fee_zero": statement("""
+            select address, coalesce(a.cnt, 0) + coalesce(b.cnt, 0) as total_tx_cnt, round(coalesce(a.fee, 0) + coalesce(b.fee, 0), 10) as total_fee
+            from (select address, n as cnt, n * 0.001::double as fee from old_acct) a full join (
+              select address, count(*) as cnt, coalesce(sum(fee), 0) as fee from (
+                select src as address, 1e-18 * gas_price * gas as fee from etx union all select dst, null from etx)
+              where address is not null group by address) b using (address)"""),
         "gas_ma": statement("""
             select bn as block_number, ts as block_timestamp, cast(ts as date) as block_date, round(p3, 2) as gas_price_prev3_blk,
               round(p6, 2) as gas_price_prev6_blk, round(p12, 2) as gas_price_prev12_blk from gas_ma"""),
@@ -380,8 +407,12 @@ def oracle_sql() -> dict[str, str]:
         "token_price_daily": statement("select token as address, d as price_day, price, symbol from tprice"),
         "successful_tx": statement("select hash from ok_union"),
         "stat_daily_token": STAT_TOKEN,
+        "stat_daily_token_value": STAT_TOKEN.replace("count(*) filter (not is_in), 6) as turnover", "coalesce(sum(v) filter (not is_in), 0), 6) as turnover"),
         "transfers_token": _token_edges("src"),
         "transfers_token_2": _token_edges("dst"),
+        "transfers_token_ranked": _token_edges("src")
+        .replace(f"case when arg_min(coalesce(status, 0), {_ORDER}) = 1 then arg_min(hash, {_ORDER}) end", f"arg_min(hash, {_ORDER}) filter (status = 1)")
+        .replace(f"case when arg_max(coalesce(status, 0), {_ORDER}) = 1 then arg_max(hash, {_ORDER}) end", f"arg_max(hash, {_ORDER}) filter (status = 1)"),
         "score_account": _score(
             """select address, plots, 0 as idx, 1.0::double as w from acct_labels
                union all select address, plots, idx, sub_weight from exposure
@@ -394,6 +425,10 @@ def oracle_sql() -> dict[str, str]:
         "high_fee_account": statement(f"select address, feature, {NO_NAME}, 'P121' as plots, idx from high_acct q where {old_acct}"),
         "large_value_account": statement(f"""
             select address, token as token_address, symbol, feature, 'P401' as plots, idx from large_acct q where {old_acct}"""),
+        "large_value_account_from": statement(
+            f"select address, token as token_address, symbol, feature, 'P401' as plots, idx from large_acct q where {old_acct}",
+            {"large_acct": CTES["large_acct"].replace("dst as address", "case side when 'in' then dst else src end as address").replace("dst is not null", "case side when 'in' then dst else src end is not null")},
+        ),
         "contract_deployers": statement(f"select address, tx_timestamp, 'Contract deployer' as tag from deployer q where {old_acct}"),
         "propagated_account": statement("select address, plots, idx, round(sub_weight, 6) as sub_weight from exposure"),
         "nft_users": statement(f"""
@@ -417,6 +452,11 @@ def oracle_sql() -> dict[str, str]:
         "eth2_depositors": statement(f"select * from ({_users('eth2_depositor')}) q where {old_acct}"),
         **{f"category_{n}": statement(_category(n)) for n in CATEGORIES},
         "category_others": statement(OTHERS),
+        # --- sinks ---
+        "sink_append": _ORDERS,
+        "sink_snapshot": _ORDERS,
+        "sink_partition_reload": f"select * from ({_ORDERS}) where o_orderstatus = 'P' or o_orderstatus = 'O' and price > 100000",
+        "sink_bucketed": f"select *, o_custkey % 16 as pt from ({_ORDERS})",
         # --- primitives ---
         "hex_bucket": statement(f"""
             select address, {_hex("address")} as hex_pt, {_md5_pt("address")} as md5_pt from (select distinct src as address from etx)"""),

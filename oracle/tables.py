@@ -7,9 +7,7 @@ from __future__ import annotations
 
 import re
 
-from txloom.operators.account_activity import V2_POOL_TOPIC, V3_POOL_TOPIC
-from txloom.operators.protocols import CURVE_TOPICS, TORNADO_PROXY, UNISWAP_V2_ROUTERS
-from txloom.sources.derived import EVENT_PAIRS, WEIGHTED_CODES
+from oracle.specs import CURVE_TOPICS, EVENT_PAIRS, TORNADO_PROXY, UNISWAP_V2_ROUTERS, V2_POOL_TOPIC, V3_POOL_TOPIC, WEIGHTED_CODES
 
 ZERO = "0x" + "0" * 40
 

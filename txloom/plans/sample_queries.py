@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from datetime import date, datetime
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +33,8 @@ from txloom.operators import (
     value_flow,
 )
 from txloom.sources import derived as src
-from txloom.sources.staging import staged
+from txloom.sources import sinks
+from txloom.sources.staging import staged, staging_root
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -165,6 +167,12 @@ def q_large_value_utxo(spark, sf):
     return large_value.utxo_large_value(stored_flow(spark, sf), stored=stored_addresses(spark, sf))
 
 
+def q_large_value_utxo_by_tier(spark, sf):
+    """New tiers of addresses whose first tier is stored."""
+    stored = stored_addresses(spark, sf).select("address", F.lit(1).alias("idx"))
+    return large_value.utxo_large_value(stored_flow(spark, sf), stored=stored, new_only_on=("address", "idx"))
+
+
 def q_coinbase_miners(spark, sf):
     return spending.coinbase_miners(src.utxo_transactions(spark, sf))
 
@@ -316,6 +324,18 @@ def q_transfers_utxo(spark, sf):
     return _rounded_stats(_utxo_edges(spark, sf), USD)
 
 
+#: A guard that transactions of the samples reach.
+SMALL_GUARD = 3
+
+
+def q_transfers_utxo_guard(spark, sf):
+    return _rounded_stats(transfer_graph.utxo_transfers(stored_flow(spark, sf), max_side=SMALL_GUARD), USD)
+
+
+def q_transfers_utxo_left_out(spark, sf):
+    return _rounded_stats(transfer_graph.utxo_transfers_left_out(stored_flow(spark, sf), SMALL_GUARD), USD)
+
+
 def q_transfers_utxo_2(spark, sf):
     return _rounded_stats(transfer_graph.utxo_transfers_by_receiver(_utxo_edges(spark, sf)), USD)
 
@@ -349,6 +369,15 @@ def q_tx_cnt_fee(spark, sf):
     return rounded(activity.address_tx_cnt_and_fee(src.account_transactions(spark, sf), stored=old), total_fee=10)
 
 
+def q_tx_cnt_fee_zero(spark, sf):
+    """Fee totals where a missing side counts as nothing."""
+    old = stored_accounts(spark, sf).select(
+        "address", F.col("n").alias("total_tx_cnt"), (F.col("n") * 0.001).alias("total_fee")
+    )
+    tx = src.account_transactions(spark, sf)
+    return rounded(activity.address_tx_cnt_and_fee(tx, stored=old, null_fee_as_zero=True), total_fee=10)
+
+
 def q_gas_ma(spark, sf):
     df = fees.block_gas_moving_avg(src.account_transactions(spark, sf))
     return rounded(df, **{f"gas_price_prev{n}_blk": 2 for n in (3, 6, 12)})
@@ -390,11 +419,23 @@ def q_stat_daily_token(spark, sf):
     return _rounded_stats(df, TOKEN_USD)
 
 
-def _token_edges(spark, sf):
+def q_stat_daily_token_value(spark, sf):
+    """Turnover as value in and value out."""
+    df = daily_stats.token_stat_daily(_priced(spark, sf, True), src.account_transactions(spark, sf), turnover="value")
+    return _rounded_stats(df, TOKEN_USD)
+
+
+def _token_edges(spark, sf, rank_after_filter=False):
     tx, price = src.account_transactions(spark, sf), src.token_price(spark, sf)
     tokens = token_flow.valid_tokens(price, [src.token_decimals(spark, sf)])
     direct = token_flow.direct_token_transfers(src.token_transfers(spark, sf), tx, tokens, scale="divide")
-    return transfer_graph.token_transfers_graph(src.traces(spark, sf), tx, direct, price, src.status_backfill(spark, sf))
+    late = src.status_backfill(spark, sf)
+    return transfer_graph.token_transfers_graph(src.traces(spark, sf), tx, direct, price, late, rank_after_filter)
+
+
+def q_transfers_token_ranked(spark, sf):
+    """First and last hash among successful transactions."""
+    return _rounded_stats(_token_edges(spark, sf, rank_after_filter=True), TOKEN_USD)
 
 
 def q_transfers_token(spark, sf):
@@ -430,6 +471,11 @@ def q_large_value_account(spark, sf):
     return large_value.account_large_value(_priced(spark, sf), stored=stored_accounts(spark, sf))
 
 
+def q_large_value_account_from(spark, sf):
+    """Outgoing tags name the sender."""
+    return large_value.account_large_value(_priced(spark, sf), stored=stored_accounts(spark, sf), out_side="from")
+
+
 def q_contract_deployers(spark, sf):
     return activity.contract_deployers(src.account_transactions(spark, sf), stored=stored_accounts(spark, sf))
 
@@ -592,6 +638,56 @@ def q_day_slice(spark, sf):
     return tx.select("hash", "block_number", "block_timestamp", "block_timestamp_month")
 
 
+# --- sinks: given tables written below the shared folder and read back ------------------------------
+
+
+def _folder(spark, name):
+    return f"{staging_root(spark)}/sinks/{name}-{uuid4().hex}"
+
+
+def _orders(spark, sf):
+    return src.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.col("o_totalprice").cast("double").alias("price"))
+
+
+def q_sink_append(spark, sf):
+    path, even = _folder(spark, "append"), F.col("o_orderkey") % 2 == 0
+    sinks.append(_orders(spark, sf).where(even), path)
+    sinks.append(_orders(spark, sf).where(~even), path)
+    return spark.read.parquet(path)
+
+
+def q_sink_partition_reload(spark, sf):
+    """Two partitions are loaded again, one of them without rows."""
+    path, orders = _folder(spark, "reload"), _orders(spark, sf)
+    sinks.reload_partitions(orders, path, "o_orderstatus")
+    sinks.reload_partitions(orders.where("o_orderstatus = 'O' AND price > 100000"), path, "o_orderstatus", values=["O", "F"])
+    return spark.read.parquet(path).select(*orders.columns)
+
+
+def q_sink_snapshot(spark, sf):
+    """Two versions, the second from the first and new rows; the second run is repeated."""
+    root, orders = _folder(spark, "snapshot"), _orders(spark, sf)
+    old = F.col("o_orderkey") % 3 == 0
+    sinks.update_snapshot(spark, root, "1", lambda kept: orders.where(old))
+    for _ in range(2):
+        last = sinks.update_snapshot(spark, root, "2", lambda kept: kept.unionByName(orders.where(~old)))
+    return last
+
+
+def q_sink_bucketed(spark, sf):
+    path = _folder(spark, "bucketed")
+    sinks.write_bucketed(_orders(spark, sf).withColumn("pt", F.col("o_custkey") % 16), path, ["o_custkey"])
+    return spark.read.parquet(path)
+
+
+def q_sink_second_order(spark, sf):
+    """The edges of the transfer graph by receiver, from the stored ones by sender."""
+    first, second = _folder(spark, "edges"), _folder(spark, "edges-2")
+    sinks.write_bucketed(_utxo_edges(spark, sf), first, ["from_address", "to_address"])
+    sinks.copy_by_receiver(spark.read.parquet(first), transfer_graph.utxo_transfers_by_receiver, second)
+    return _rounded_stats(spark.read.parquet(second), USD)
+
+
 _ALL: dict[str, Query] = {
     **{name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_")},
     "taint_common_input": _distinct_relation(taint.common_input),

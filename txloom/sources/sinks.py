@@ -48,11 +48,12 @@ def _drop_partitions(spark: SparkSession, path: str, partition_by: str, values:
 def write_bucketed(df: DataFrame, path: str, cluster_by: Sequence[str], bucket: str = "pt", files: int | None = None) -> None:
     """Write a table laid out by bucket and then by its cluster columns.
 
-    Ranges over (bucket, cluster columns) give files of even size whatever the weight of a single
-    bucket, and sorted row groups, so a read of one bucket or address skips the rest by min/max.
+    Rows are dealt by bucket in one shuffle, without a run before it to sample ranges; adaptive execution splits
+    heavy buckets and merges light ones. Row groups are sorted, so a read of one bucket or address skips the
+    rest by min/max.
     """
     keys = [bucket, *cluster_by]
-    laid_out = df.repartitionByRange(files, *keys) if files else df.repartitionByRange(*keys)
+    laid_out = df.repartition(files, bucket) if files else df.hint("rebalance", bucket)
     laid_out.sortWithinPartitions(*keys).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
