@@ -1,0 +1,66 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+from txloom.llm import toxicity
+from txloom.llm.queries import op6_toxicity
+
+SF = "/root/testdata/sf0.01"
+
+
+def auc(score, label):
+    order = np.argsort(score, kind="stable")
+    s, l = np.asarray(score)[order], np.asarray(label)[order]
+    ranks = np.array([np.mean(np.flatnonzero(s == x)) + 1 for x in s])
+    p = (l == 1).sum()
+    return (ranks[l == 1].sum() - p * (p + 1) / 2) / (p * (len(l) - p))
+
+
+def test_held_out_accuracy(spark):
+    got = {r["doc_id"]: r for r in op6_toxicity(spark, SF).collect()}
+    assert len(got) == spark.read.parquet(f"{SF}/documents.parquet").count()
+    for i, r in got.items():
+        assert r["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5)
+    labels = [r for r in spark.read.parquet(f"{SF}/labels.parquet").collect() if got[r["doc_id"]]["held_out"]]
+    assert auc([got[r["doc_id"]]["score"] for r in labels], [r["toxic"] for r in labels]) > 0.8
+    clean = [got[r["doc_id"]]["predicted"] for r in labels if not r["toxic"]]
+    assert sum(clean) <= 0.02 * len(clean)
+
+
+def toy(spark, docs_of):
+    docs = docs_of(*[(k, f"plain words number {k}" + (" horrid" if k % 4 == 0 else "")) for k in range(80)])
+    labels = spark.createDataFrame([(k, int(k % 4 == 0), 1) for k in range(80)] + [(None, 1, 0), (5, None, 0), (3, 0, 1)], "doc_id long, toxic int, text int")
+    return docs, labels
+
+
+def test_learns_and_scores_odd_texts(spark, docs_of):
+    docs, labels = toy(spark, docs_of)
+    model = toxicity.fit(docs, labels)
+    given = docs_of((1, None), (2, ""), (3, "a horrid thing"), (3, "a nice thing"), (None, "HORRID"), (4, "fine " * 100_000))
+    out = toxicity.score(given, model, into="toxic_score")
+    assert out.columns == [*given.columns, "toxic_score"]
+    got = {(r["doc_id"], (r["text"] or "")[:8]): r["toxic_score"] for r in out.collect()}
+    assert len(got) == 6 and got[(3, "a horrid")] > 0.5 > got[(3, "a nice t")] and got[(4, "fine fin")] < 0.5
+    assert got[(None, "HORRID")] > got[(2, "")] == got[(1, "")]
+
+
+def test_model_does_not_depend_on_the_order_of_rows(spark, docs_of):
+    docs, labels = toy(spark, docs_of)
+    a, b = toxicity.fit(docs, labels), toxicity.fit(docs.repartition(3, "text"), labels.repartition(2))
+    assert (a.hashes == b.hashes).all() and np.allclose(a.weights, b.weights)
+
+
+def test_sample_bound(spark, docs_of):
+    docs, labels = toy(spark, docs_of)
+    assert toxicity.fit_sample(docs, labels, 20, "doc_id", "text", "toxic").count() == 20
+
+
+def test_labels_of_one_kind_or_none(spark, docs_of):
+    docs, labels = toy(spark, docs_of)
+    assert toxicity.fit(docs, labels.where("toxic = 0")).score("x") < 0.01
+    assert toxicity.fit(docs, labels.where("toxic = 1")).score("x") > 0.99
+    nothing = toxicity.fit(docs.limit(0), labels)
+    assert nothing.score("horrid") < 0.01
+    assert toxicity.score(docs.limit(0), nothing).count() == 0
