@@ -22,6 +22,7 @@ Documents with equal sets are one node of the graph from the start.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,8 @@ LEAST_SEGMENTS = 32
 CELLS = 16
 #: Documents of one key that are compared with each other in a task.
 BLOCK_ROWS = 1_000
+#: Rows of several keys that a task compares at once, about.
+ROWS_TOGETHER = 20_000
 #: Bits of the filter that tells which sets are needed, at most.
 FILTER_BITS = 1 << 24
 
@@ -66,6 +69,7 @@ def _difference(s: int, t: int, percent: int) -> int:
     return (s + t) * (100 - percent) // (100 + percent)
 
 
+@cache
 def _borders(percent: int) -> np.ndarray:
     """Where bands begin. Below the first border sets link to equal sets only."""
     first = 1
@@ -177,10 +181,10 @@ def _near_pairs(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(measure, "a long, b long")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs whose sets are similar enough, stored. Sets are made again from the texts, for documents of pairs only."""
+def _candidate_sets(docs: DataFrame, live: DataFrame, width: int) -> DataFrame:
+    """node, items (its set), stored, for the nodes that share a key with another. They are made again from the texts."""
     spark = docs.sparkSession
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    ends = live.select("node").distinct()
     # nodes are hashes: their low bits are places in the filter
     words = ends.groupBy(F.expr(f"shiftright(node & {FILTER_BITS - 1}, 6)").alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(node & 63 AS int)))").alias("bits"))
     found = words.toPandas()  # at most FILTER_BITS / 64 rows
@@ -204,7 +208,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], ["node", "items"])
 
     sets = docs.mapInArrow(candidates, "node long, items binary")
-    sets = sets.join(ends, "node", "left_semi").groupBy("node").agg(F.first("items").alias("items"))
+    return stored(sets.join(ends, "node", "left_semi").groupBy("node").agg(F.first("items").alias("items")), "jaccard-sets")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sets are similar enough, stored."""
     side = lambda x: sets.select(F.col("node").alias(x), F.col("items").alias(f"s_{x}"))
 
     def check(batches: Iterable) -> Iterator[pa.RecordBatch]:
@@ -253,29 +261,38 @@ def _rest(live: DataFrame, members: DataFrame, nodes: DataFrame, percent: int) -
     spread = placed.withColumn("other", F.explode(every)).select(
         "key", "node", "component", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
     )
+    # tasks of many small keys take these together
+    together = spread.count() // ROWS_TOGETHER + 1
+    spread = spread.withColumn("task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(together)))
     spread = spread.join(nodes.select("node", "n_shingles", "sketch"), "node")
 
-    def compare(key: tuple, table: pa.Table) -> pa.Table:
-        i, j = key[1].as_py(), key[2].as_py()
-        node, component, n, block = (table.column(c).to_numpy() for c in ("node", "component", "n_shingles", "block"))
-        sketches = table.column("sketch").to_pylist()
-        size = min(map(len, sketches))
-        bits = np.concatenate([folded(np.frombuffer(x, np.uint8)[None, :], size) for x in sketches])
-        bits = np.ascontiguousarray(bits).view(np.uint64)
-        rows_, columns = (np.flatnonzero(block == x) for x in (i, j))
+    def compare(table: pa.Table) -> pa.Table:
+        key, i, j, node, component, n, block = (table.column(c).to_numpy() for c in ("key", "i", "j", "node", "component", "n_shingles", "block"))
+        order = np.lexsort((component, j, i, key))
+        key, i, j, node, component, n, block = (x[order] for x in (key, i, j, node, component, n, block))
+        sketches = [np.frombuffer(x, np.uint8) for x in table.column("sketch").take(pa.array(order)).to_pylist()]
+        cuts = np.flatnonzero(np.append(True, (np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)))
         found: list[tuple[np.ndarray, np.ndarray]] = []
-        for r in rows_:
-            c = columns[(component[columns] != component[r]) & ((node[columns] > node[r]) | (i != j))]
-            c = c[(np.minimum(n[c], n[r]) * 100 >= np.maximum(n[c], n[r]) * percent)]
-            distance = np.bitwise_count(bits[c] ^ bits[r]).sum(1).astype(np.int64)
-            c = c[_near(n[c], n[r], distance, percent)]
-            if len(c):
-                found.append((np.minimum(node[c], node[r]), np.maximum(node[c], node[r])))
-        a, b = (np.concatenate([x[k] for x in found]) if found else np.empty(0, np.int64) for k in (0, 1))
-        return pa.table({"a": a, "b": b})
-
-    near = spread.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long")
-    return near.distinct()
+        for a, b in zip(cuts, np.append(cuts[1:], len(key)), strict=True):
+            if component[a] == component[b - 1]:
+                continue
+            size = min(len(x) for x in sketches[a:b])
+            bits = np.concatenate([folded(x[None, :], size) for x in sketches[a:b]]).view(np.uint64)
+            at = np.arange(a, b)
+            rows_, columns = (at, at) if i[a] == j[a] else (at[block[a:b] == i[a]], at[block[a:b] == j[a]])
+            for r in rows_:
+                c = columns[columns > r] if i[a] == j[a] else columns
+                c = c[(component[c] != component[r]) & (np.minimum(n[c], n[r]) * 100 >= np.maximum(n[c], n[r]) * percent)]
+                if len(c):
+                    distance = np.bitwise_count(bits[c - a] ^ bits[r - a]).sum(1).astype(np.int64)
+                    c = c[_near(n[c], n[r], distance, percent)]
+                    found.append((np.minimum(node[c], node[r]), np.maximum(node[c], node[r])))
+        a, b = (np.concatenate([np.empty(0, np.int64), *(x[k] for x in found)]) for k in (0, 1))
+        # a pair often shares many keys
+        once = np.unique(np.column_stack([a, b]), axis=0) if len(a) else np.empty((0, 2), np.int64)
+        return pa.table({"a": once[:, 0], "b": once[:, 1]})
+
+    return spread.groupBy("task").applyInArrow(compare, "a long, b long").distinct()
 
 
 def jaccard_components(
@@ -292,15 +309,14 @@ def jaccard_components(
     described = _rows(narrow, width, percent)
     nodes = described.where("sketch is not null").groupBy("node").agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
     live = _live(described)
+    sets = _candidate_sets(narrow, live, width)
 
-    links = _verified(stored(_near_pairs(_to_centres(live, None), nodes, percent), "jaccard-pairs"), narrow, width, percent)
+    links = _verified(_near_pairs(_to_centres(live, None), nodes, percent), sets, percent)
     degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count("*").alias("rank"))
     members = stored(components(links, "a", "b"), "jaccard-members")
-    more = stored(_near_pairs(_apart(_to_centres(live, degree), members), nodes, percent), "jaccard-pairs")
-    links = links.union(_verified(more, narrow, width, percent))
+    links = links.union(_verified(_near_pairs(_apart(_to_centres(live, degree), members), nodes, percent), sets, percent))
     members = stored(components(links, "a", "b"), "jaccard-members")
-    rest = stored(_rest(live, members, nodes, percent), "jaccard-pairs")
-    links = links.union(_verified(rest, narrow, width, percent))
+    links = links.union(_verified(_rest(live, members, nodes, percent), sets, percent))
     members = components(links, "a", "b")
 
     named = described.select("doc_id", "n_shingles", "node").join(members, "node", "left")

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import io
+import os
+import zipfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 from uuid import uuid4
 
 import numpy as np
 import xxhash
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +20,31 @@ from pyspark.sql import functions as F
 MEMO_ENTRIES = 300_000
 
 
+def _ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, unless they find it as the driver does by PYTHONPATH or working folder."""
+    package = Path(__file__).resolve().parents[1]
+    name = f"{shared_folder(spark)}/{package.name}.zip"
+    paths = {os.path.abspath(p or ".") for p in ["", *os.environ.get("PYTHONPATH", "").split(os.pathsep)]}
+    if str(package.parent) in paths or name in _shipped:
+        return
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
+        for file in sorted(package.rglob("*.py")):
+            z.write(file, file.relative_to(package.parent))
+    store, path = fs.FileSystem.from_uri(name)
+    store.create_dir(os.path.dirname(path), recursive=True)
+    with store.open_output_stream(path) as out:
+        out.write(data.getvalue())
+    spark.sparkContext.addPyFile(name)
+    _shipped.add(name)
+
+
+_shipped: set[str] = set()
+
+
 def session(spark: SparkSession) -> SparkSession:
     """Long texts make heavy rows: few of them go to Python at once."""
+    _ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     return spark
