@@ -73,7 +73,7 @@ def minimisers(core: np.ndarray, width: int) -> np.ndarray:
     return np.unique(view.argmin(1) + np.arange(len(view)))
 
 
-def _suffixes(text: str, hashes: WordHashes, min_words: int, core_words: int) -> dict[str, np.ndarray] | None:
+def _suffixes(text: str, hashes: WordHashes, min_words: int, core_words: int) -> dict | None:
     """The retained suffixes of a text: place, core, and what stands within reach left and right of the core."""
     words = text.encode().split()
     n, reach = len(words), min_words - core_words
@@ -93,7 +93,7 @@ def _suffixes(text: str, hashes: WordHashes, min_words: int, core_words: int) ->
     right[whole] = side[at[whole] + core_words]
     for k in np.flatnonzero(~whole):
         right[k] = windows.of(int(after[k]))[-1] ^ np.uint64(after[k] + 1) if after[k] else np.uint64(1)
-    return {"at": at, "core": core[at], "left": left, "right": right, "before": before, "after": after, "passages": windows.of(min_words)}
+    return {"at": at, "core": core[at], "left": left, "right": right, "before": before, "after": after, "windows": windows}
 
 
 def _bits(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -123,8 +123,14 @@ def _place_hash(doc_id: int | None, at: np.ndarray) -> np.ndarray:
     return (at ^ (at >> np.int64(32)) ^ np.int64(doc_id or 0)).view(np.uint64)
 
 
-def _place_hash_of(doc_id: str, at: str) -> Column:
-    return F.col(at).bitwiseXOR(F.shiftright(at, 32)).bitwiseXOR(F.coalesce(F.col(doc_id), F.lit(0)))
+def _start_of(at: str) -> Column:
+    """The place of the first word of the text."""
+    return F.col(at).bitwiseAND(F.lit(-(1 << 32)))
+
+
+def _place_hash_of(doc_id: str, at: str | Column) -> Column:
+    at = F.col(at) if isinstance(at, str) else at
+    return at.bitwiseXOR(F.shiftright(at, 32)).bitwiseXOR(F.coalesce(F.col(doc_id), F.lit(0)))
 
 
 def repeated_spans(
@@ -172,25 +178,31 @@ def repeated_spans(
 
     # suffixes that differ from the first of their run, and these first ones, by passages
     differing = matched.where("NOT extends")
+    documents = differing.select(_place_hash_of("doc_id", _start_of("at")).alias("h")).union(differing.select(_place_hash_of("first_doc_id", _start_of("first_at"))))
     signatures = differing.select(_signature_of("core", "left", "right").alias("h"))
     firsts = differing.select(_place_hash_of("first_doc_id", "first_at").alias("h"))
-    tables = spark.sparkContext.broadcast((_filter(signatures), _filter(firsts)))  # at most FILTER_BITS bits each
+    tables = spark.sparkContext.broadcast((_filter(documents), _filter(signatures), _filter(firsts)))  # at most FILTER_BITS bits each
 
     def passages(batches: Iterable) -> Iterator[pa.RecordBatch]:
-        hashes, (by_signature, by_place) = WordHashes(), tables.value
+        hashes, (by_document, by_signature, by_place) = WordHashes(), tables.value
         back = np.arange(min_words - core_words + 1)
         for batch in batches:
             found, places, owners = [], [], []
             for doc_id, text in zip(batch.column("doc_id"), batch.column("text").to_pylist(), strict=True):
+                digest = zlib.crc32(text.encode())
+                if not _bits(by_document, _place_hash(doc_id.as_py(), _place(digest, np.zeros(1, np.int64))))[0]:
+                    continue  # none of its suffixes differs from the first of its run, nor is such a first
                 s = _suffixes(text, hashes, min_words, core_words)
                 if s is None:
                     continue
-                digest = zlib.crc32(text.encode())
                 wanted = _bits(by_signature, _signature(s["core"], s["left"], s["right"])) | _bits(by_place, _place_hash(doc_id.as_py(), _place(digest, s["at"])))
                 starts = np.unique(s["at"][wanted][:, None] - back[None, :])
-                starts = starts[(starts >= 0) & (starts < len(s["passages"]))]
+                if not len(starts):
+                    continue
+                every = s["windows"].of(min_words)
+                starts = starts[(starts >= 0) & (starts < len(every))]
                 if len(starts):
-                    found.append(signed(s["passages"][starts]))
+                    found.append(signed(every[starts]))
                     places.append(_place(digest, starts))
                     owners.append(pa.repeat(doc_id, len(starts)))
             if found:
