@@ -48,7 +48,7 @@ ROWS_TOGETHER = 20_000
 #: Bits of the filter that tells which sets are needed, at most.
 FILTER_BITS = 1 << 24
 
-ROWS = "doc_id long, n_shingles long, node long, sketch binary, keys array<long>"
+ROWS = "doc_id long, n_shingles long, node long, text_hash long, sketch binary, keys array<long>"
 
 
 def shingles(text: str, hashes: WordHashes, width: int = SHINGLE) -> np.ndarray:
@@ -64,6 +64,10 @@ def _node(s: np.ndarray) -> int | None:
     return xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None
 
 
+def _text_hash(text: str) -> int:
+    return xxhash.xxh64_intdigest(text.encode()) - (1 << 63)
+
+
 def _difference(s: int, t: int, percent: int) -> int:
     """The largest symmetric difference of linked sets of these sizes."""
     return (s + t) * (100 - percent) // (100 + percent)
@@ -140,7 +144,7 @@ def _rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
     def describe(batches: Iterable) -> Iterator[pa.RecordBatch]:
         hashes, known = WordHashes(), set()
         for batch in batches:
-            sizes, nodes, sketches, keys = [], [], [], []
+            sizes, nodes, text_hashes, sketches, keys = [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 s = shingles(text, hashes, width)
                 node = _node(s)
@@ -148,11 +152,12 @@ def _rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 known.add(node)
                 sizes.append(len(s))
                 nodes.append(node)
+                text_hashes.append(_text_hash(text))
                 sketches.append(sketch(s) if new else None)
                 keys.append(signed(segment_keys(s, percent)) if new else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sketches, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "node", "sketch", "keys"],
+                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(text_hashes, pa.int64()), pa.array(sketches, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                ["doc_id", "n_shingles", "node", "text_hash", "sketch", "keys"],
             )
 
     return stored(docs.mapInArrow(describe, ROWS), "jaccard-rows")
@@ -181,12 +186,13 @@ def _near_pairs(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(measure, "a long, b long")
 
 
-def _candidate_sets(docs: DataFrame, live: DataFrame, width: int) -> DataFrame:
-    """node, items (its set), stored, for the nodes that share a key with another. They are made again from the texts."""
+def _candidate_sets(docs: DataFrame, described: DataFrame, live: DataFrame, width: int) -> DataFrame:
+    """node, items (its set), stored, for the nodes that share a key with another. They are made again from their texts."""
     spark = docs.sparkSession
     ends = live.select("node").distinct()
-    # nodes are hashes: their low bits are places in the filter
-    words = ends.groupBy(F.expr(f"shiftright(node & {FILTER_BITS - 1}, 6)").alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(node & 63 AS int)))").alias("bits"))
+    wanted = described.join(ends, "node", "left_semi").select(F.col("text_hash").alias("h"))
+    # a bit for the low end of each hash
+    words = wanted.groupBy(F.expr(f"shiftright(h & {FILTER_BITS - 1}, 6)").alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(h & 63 AS int)))").alias("bits"))
     found = words.toPandas()  # at most FILTER_BITS / 64 rows
     bits = np.zeros(FILTER_BITS // 64, np.int64)
     bits[found["at"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
@@ -197,11 +203,11 @@ def _candidate_sets(docs: DataFrame, live: DataFrame, width: int) -> DataFrame:
         for batch in batches:
             nodes, sets = [], []
             for text in batch.column("text").to_pylist():
-                s = shingles(text, hashes, width)
-                node = _node(s)
-                if node is not None and node not in known:
-                    at = node & (FILTER_BITS - 1)
-                    if int(table[at >> 6]) >> (at & 63) & 1:
+                at = _text_hash(text) & (FILTER_BITS - 1)
+                if int(table[at >> 6]) >> (at & 63) & 1:
+                    s = shingles(text, hashes, width)
+                    node = _node(s)
+                    if node is not None and node not in known:
                         known.add(node)
                         nodes.append(node)
                         sets.append(s.tobytes())
@@ -309,7 +315,7 @@ def jaccard_components(
     described = _rows(narrow, width, percent)
     nodes = described.where("sketch is not null").groupBy("node").agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
     live = _live(described)
-    sets = _candidate_sets(narrow, live, width)
+    sets = _candidate_sets(narrow, described, live, width)
 
     links = _verified(_near_pairs(_to_centres(live, None), nodes, percent), sets, percent)
     degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count("*").alias("rank"))
