@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import random
+from decimal import Decimal
+
 import pytest
+from helpers import COIN, T0, inp, out, utxo_tx
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from txloom.operators import taint
 from txloom.plans.sample_queries import QUERIES
+from txloom.schemas import DAY_PRICE
 from txloom.sources import derived
 
 SF = "/root/testdata/sf0.001"
@@ -44,3 +50,35 @@ def test_nested_columns_are_pruned(spark):
     assert "inputs" in plan
     scan = derived.utxo_transactions(spark, SF).select(F.explode("outputs.addresses"))
     assert "outputs:array<struct<addresses:array<string>>>" in plan_of(scan)
+
+
+def test_exposure_reads_stored_parts(spark):
+    """The seven relations together: few reads of the transactions, few shuffles."""
+    plan = plan_of(entry.queries()["taint_all"](spark, SF))
+    assert plan.count("Exchange hashpartitioning") <= 20
+    assert plan.count("/utxo_transactions-") <= 4
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_leading_labelled_addresses_decide(spark, seed):
+    """With many labelled addresses per transaction and ties in amount and score, as all pairs would."""
+    rng = random.Random(seed)
+    addresses = [f"a{k}" for k in range(14)]
+    rows = [
+        {
+            "hash": f"t{n}",
+            "block": n,
+            "inputs": [inp(rng.randrange(1, 4) * COIN, rng.choice(addresses), origin=f"t{n - 1}", index=k) for k in range(rng.randrange(1, 9))] if n else [],
+            "outputs": [out(k, rng.randrange(1, 4) * COIN, rng.choice(addresses)) for k in range(8)],
+        }
+        for n in range(12)
+    ]
+    tx = utxo_tx(spark, *rows)
+    price = spark.createDataFrame([(T0, Decimal(100))], DAY_PRICE)
+    labels = spark.createDataFrame([(a, f"P{k % 2}", rng.choice([0.5, 1.0])) for k, a in enumerate(addresses[:12])], "address string, plots string, score double")
+    for relation in (taint.direct_source, taint.direct_dest, taint.indirect_source, taint.indirect_dest):
+        some = {tuple(r)[:4]: r["sub_weight"] for r in relation(tx, price, labels).collect()}
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(taint, "_leading_refs", lambda refs, keep: refs)
+            every = {tuple(r)[:4]: r["sub_weight"] for r in relation(tx, price, labels).collect()}
+        assert some == pytest.approx(every) and every

@@ -10,6 +10,8 @@ pairing all inputs with all labelled outputs would be quadratic.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +21,7 @@ from txloom.operators.value_flow import with_day_price
 
 UNITS_PER_COIN = 100_000_000
 FULL_WEIGHT_USD = 10_000
+Keep = Callable[[str, DataFrame], DataFrame]
 RELATION_COLUMNS = ("address", "plots", "relation", "idx", "sub_weight")
 
 
@@ -115,16 +118,6 @@ def _common(folded: DataFrame, labels: DataFrame, count: str, relation: str, idx
     )
 
 
-def common_input(tx: DataFrame, price: DataFrame, labels: DataFrame) -> DataFrame:
-    """Addresses that spend together with a labelled address (idx 1)."""
-    return _common(_folded_inputs(tx, price), labels, "input_count", "common input", 1)
-
-
-def common_output(tx: DataFrame, price: DataFrame, labels: DataFrame) -> DataFrame:
-    """Addresses that receive together with a labelled address (idx 2)."""
-    return _common(_folded_outputs(tx, price), labels, "output_count", "common output", 2)
-
-
 def _leading_refs(refs: DataFrame, keep: int) -> DataFrame:
     """Per (hash, plots), the `keep` addresses with the smallest amounts and with the largest scores.
 
@@ -191,41 +184,6 @@ def _source_pairs(folded_inputs: DataFrame, outputs: DataFrame, labels: DataFram
     )
 
 
-def direct_source(tx: DataFrame, price: DataFrame, labels: DataFrame) -> DataFrame:
-    """Addresses whose money went to a labelled address (idx 3)."""
-    pairs = _source_pairs(_folded_inputs(tx, price), output_ledger(tx, price), labels)
-    return _exposure_score(pairs, spent_totals(input_ledger(tx, price)), "direct source", 3)
-
-
-def indirect_source(tx: DataFrame, price: DataFrame, labels: DataFrame) -> DataFrame:
-    """Addresses whose money went to a labelled address through one transaction between (idx 5)."""
-    spending = _folded_inputs(tx, price, "spent_transaction_hash", "spent_output_index")
-    reached = _source_pairs(spending, output_ledger(tx, price), labels).select(
-        F.col("spent_transaction_hash").alias("hash"),
-        F.col("spent_output_index").alias("spent_index"),
-        "plots",
-        "ref_address",
-        "amount",
-        "base_score",
-    )
-    # the spent output must be one that counts; the check stays on the key of the next steps
-    origins = _folded_outputs(tx, price, "index").select("hash", "lines")
-    counts = F.exists("lines", lambda x: (x["index"] == F.col("spent_index")) & (F.size(x["addresses"]) > 0))
-    refs = (
-        reached.join(origins, "hash")
-        .where(counts)
-        .groupBy("hash", "plots", "ref_address")
-        .agg(F.min("amount").alias("ref_amount"), F.max("base_score").alias("base_score"))
-    )
-    inputs = _folded_inputs(tx, price).where(F.col("total_in") > 0)
-    pairs = (
-        _unfold(inputs.join(_leading_refs(refs, 2), "hash"), "spent_usd_value")
-        .where(F.col("address") != F.col("ref_address"))
-        .withColumn("usd", F.col("spent_usd_value") * F.col("ref_amount") / F.col("total_in"))
-    )
-    return _exposure_score(pairs, spent_totals(input_ledger(tx, price)), "indirect source", 5)
-
-
 def _dest_pairs(inputs: DataFrame, folded_outputs: DataFrame, labels: DataFrame) -> DataFrame:
     """Output lines paired with the leading labelled spenders of their transaction."""
     spenders = inputs.select("hash", "address", "value", "total_in")
@@ -235,42 +193,144 @@ def _dest_pairs(inputs: DataFrame, folded_outputs: DataFrame, labels: DataFrame)
     return paired.where(F.col("address") != F.col("ref_address")).withColumn("amount", F.col("value") * share)
 
 
+class Exposure:
+    """What the six relations share: ledgers, totals per address and direct pairs, each defined once.
+
+    `keep(name, frame)` may store a shared part and return the stored one, so that it is computed once; by default
+    every relation plans its parts anew. `chained` reads what links a transaction to the next, the widest columns
+    of the ledgers, which the common and direct relations alone do not need.
+    """
+
+    def __init__(self, tx: DataFrame, price: DataFrame, labels: DataFrame, keep: Keep | None = None, chained: bool = True):
+        self.labels, self._keep, self._parts = labels, keep or (lambda name, frame: frame), {}
+        self._tx, self._price, self._chained = tx, price, chained
+
+    def _part(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self._parts:
+            self._parts[name] = self._keep(name, build())
+        return self._parts[name]
+
+    @property
+    def inputs(self) -> DataFrame:
+        fields = ("spent_transaction_hash", "spent_output_index") if self._chained else ()
+        return self._part("inputs", lambda: _folded_inputs(self._tx, self._price, *fields))
+
+    @property
+    def outputs(self) -> DataFrame:
+        return self._part("outputs", lambda: _folded_outputs(self._tx, self._price, *(("index",) if self._chained else ())))
+
+    @property
+    def spent(self) -> DataFrame:
+        return self._part("spent", lambda: spent_totals(_unfold(self.inputs, "spent_usd_value")))
+
+    @property
+    def received(self) -> DataFrame:
+        return self._part("received", lambda: received_totals(_unfold(self.outputs, "receive_usd_value")))
+
+    @property
+    def source_pairs(self) -> DataFrame:
+        return self._part("source_pairs", lambda: _source_pairs(self.inputs, _unfold(self.outputs, "receive_usd_value"), self.labels))
+
+    @property
+    def dest_pairs(self) -> DataFrame:
+        return self._part("dest_pairs", lambda: _dest_pairs(_unfold(self.inputs, "spent_usd_value"), self.outputs, self.labels))
+
+    def common_input(self) -> DataFrame:
+        return _common(self.inputs, self.labels, "input_count", "common input", 1)
+
+    def common_output(self) -> DataFrame:
+        return _common(self.outputs, self.labels, "output_count", "common output", 2)
+
+    def direct_source(self) -> DataFrame:
+        return _exposure_score(self.source_pairs, self.spent, "direct source", 3)
+
+    def direct_dest(self) -> DataFrame:
+        return _exposure_score(self.dest_pairs, self.received, "direct dest", 4)
+
+    def indirect_source(self) -> DataFrame:
+        reached = self.source_pairs.select(
+            F.col("spent_transaction_hash").alias("hash"),
+            F.col("spent_output_index").alias("spent_index"),
+            "plots",
+            "ref_address",
+            "amount",
+            "base_score",
+        )
+        # the spent output must be one that counts; the check stays on the key of the next steps
+        origins = self.outputs.select("hash", "lines")
+        counts = F.exists("lines", lambda x: (x["index"] == F.col("spent_index")) & (F.size(x["addresses"]) > 0))
+        refs = (
+            reached.join(origins, "hash")
+            .where(counts)
+            .groupBy("hash", "plots", "ref_address")
+            .agg(F.min("amount").alias("ref_amount"), F.max("base_score").alias("base_score"))
+        )
+        inputs = self.inputs.where(F.col("total_in") > 0)
+        pairs = (
+            _unfold(inputs.join(_leading_refs(refs, 2), "hash"), "spent_usd_value")
+            .where(F.col("address") != F.col("ref_address"))
+            .withColumn("usd", F.col("spent_usd_value") * F.col("ref_amount") / F.col("total_in"))
+        )
+        return _exposure_score(pairs, self.spent, "indirect source", 5)
+
+    def indirect_dest(self) -> DataFrame:
+        spends = _unfold(self.inputs, "spent_usd_value").select(
+            F.col("hash").alias("next_hash"),
+            F.col("total_in").alias("next_total"),
+            F.col("spent_transaction_hash").alias("hash"),
+            F.col("spent_output_index").alias("index"),
+        )
+        refs = (
+            self.dest_pairs.groupBy("hash", "index", "plots", "ref_address")
+            .agg(F.min("amount").alias("amount"), F.max("base_score").alias("base_score"))
+            .join(spends, ["hash", "index"])
+            .drop("hash")
+            .withColumnRenamed("next_hash", "hash")
+            .repartition("hash")
+            .groupBy("hash", "plots", "ref_address")
+            .agg(
+                F.min("amount").alias("ref_amount"),
+                F.max("base_score").alias("base_score"),
+                F.min("next_total").alias("next_total"),
+            )
+        )
+        outputs = self.outputs.where(F.col("total_out") > 0)
+        pairs = (
+            _unfold(outputs.join(_leading_refs(refs, 2), "hash"), "receive_usd_value")
+            .where(F.col("address") != F.col("ref_address"))
+            .withColumn("usd", F.try_divide(F.col("receive_usd_value") * F.col("ref_amount"), F.col("next_total")))
+        )
+        return _exposure_score(pairs, self.received, "indirect dest", 6)
+
+
+def common_input(tx: DataFrame, price: DataFrame, labels: DataFrame) -> DataFrame:
+    """Addresses that spend together with a labelled address (idx 1)."""
+    return Exposure(tx, price, labels, chained=False).common_input()
+
+
+def common_output(tx: DataFrame, price: DataFrame, labels: DataFrame) -> DataFrame:
+    """Addresses that receive together with a labelled address (idx 2)."""
+    return Exposure(tx, price, labels, chained=False).common_output()
+
+
+def direct_source(tx: DataFrame, price: DataFrame, labels: DataFrame) -> DataFrame:
+    """Addresses whose money went to a labelled address (idx 3)."""
+    return Exposure(tx, price, labels, chained=False).direct_source()
+
+
 def direct_dest(tx: DataFrame, price: DataFrame, labels: DataFrame) -> DataFrame:
     """Addresses that received money from a labelled address (idx 4)."""
-    pairs = _dest_pairs(input_ledger(tx, price), _folded_outputs(tx, price), labels)
-    return _exposure_score(pairs, received_totals(output_ledger(tx, price)), "direct dest", 4)
+    return Exposure(tx, price, labels, chained=False).direct_dest()
+
+
+def indirect_source(tx: DataFrame, price: DataFrame, labels: DataFrame) -> DataFrame:
+    """Addresses whose money went to a labelled address through one transaction between (idx 5)."""
+    return Exposure(tx, price, labels).indirect_source()
 
 
 def indirect_dest(tx: DataFrame, price: DataFrame, labels: DataFrame) -> DataFrame:
     """Addresses that received a labelled address's money through one transaction between (idx 6)."""
-    spends = input_ledger(tx, price, origins=True).select(
-        F.col("hash").alias("next_hash"),
-        F.col("total_in").alias("next_total"),
-        F.col("spent_transaction_hash").alias("hash"),
-        F.col("spent_output_index").alias("index"),
-    )
-    refs = (
-        _dest_pairs(input_ledger(tx, price), _folded_outputs(tx, price, "index"), labels)
-        .groupBy("hash", "index", "plots", "ref_address")
-        .agg(F.min("amount").alias("amount"), F.max("base_score").alias("base_score"))
-        .join(spends, ["hash", "index"])
-        .drop("hash")
-        .withColumnRenamed("next_hash", "hash")
-        .repartition("hash")
-        .groupBy("hash", "plots", "ref_address")
-        .agg(
-            F.min("amount").alias("ref_amount"),
-            F.max("base_score").alias("base_score"),
-            F.min("next_total").alias("next_total"),
-        )
-    )
-    outputs = _folded_outputs(tx, price).where(F.col("total_out") > 0)
-    pairs = (
-        _unfold(outputs.join(_leading_refs(refs, 2), "hash"), "receive_usd_value")
-        .where(F.col("address") != F.col("ref_address"))
-        .withColumn("usd", F.try_divide(F.col("receive_usd_value") * F.col("ref_amount"), F.col("next_total")))
-    )
-    return _exposure_score(pairs, received_totals(output_ledger(tx, price)), "indirect dest", 6)
+    return Exposure(tx, price, labels).indirect_dest()
 
 
 def direct_labels(curated: DataFrame) -> DataFrame:
@@ -280,11 +340,16 @@ def direct_labels(curated: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def taint_propagation(tx: DataFrame, price: DataFrame, tags: DataFrame, curated: DataFrame) -> DataFrame:
-    """All seven relations. `tags` is the seed view with scores, `curated` the hand-made labels alone."""
-    labels = labels_of(tags)
-    spread = [common_input, common_output, direct_source, direct_dest, indirect_source, indirect_dest]
-    relations = [direct_labels(curated), *[relation(tx, price, labels) for relation in spread]]
+def taint_propagation(
+    tx: DataFrame, price: DataFrame, tags: DataFrame, curated: DataFrame, keep: Keep | None = None
+) -> DataFrame:
+    """All seven relations. `tags` is the seed view with scores, `curated` the hand-made labels alone.
+
+    `keep` stores what relations share (see `Exposure`).
+    """
+    e = Exposure(tx, price, labels_of(tags), keep)
+    spread = [e.common_input, e.common_output, e.direct_source, e.direct_dest, e.indirect_source, e.indirect_dest]
+    relations = [direct_labels(curated), *[relation() for relation in spread]]
     return union_all([r.select(*RELATION_COLUMNS) for r in relations])
 
 

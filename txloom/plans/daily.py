@@ -82,7 +82,12 @@ def utxo_risk(tables: Tables, union_tags: DataFrame, out: str, now: datetime) ->
     mixers = coinjoin.coinjoin_address_score(tx, price)
     sinks.reload(tag_views.utxo_seed_tags(curated, mixers), f"{out}/seed_tags")
     seeds = spark.read.parquet(f"{out}/seed_tags")
-    sinks.reload(taint.taint_propagation(tx, price, seeds, curated), f"{out}/propagated_tags")
+
+    def keep(name: str, frame: DataFrame) -> DataFrame:
+        sinks.reload(frame, f"{out}/exposure/{name}")
+        return spark.read.parquet(f"{out}/exposure/{name}")
+
+    sinks.reload(taint.taint_propagation(tx, price, seeds, curated, keep), f"{out}/propagated_tags")
     propagated = spark.read.parquet(f"{out}/propagated_tags")
     scores = score.utxo_address_score(propagated, union_tags, tables["risk_weights"], now)
     sinks.write_bucketed(scores, f"{out}/address_score", ["address"])

@@ -280,8 +280,10 @@ def _distinct_relation(fn):
 
 
 def _taint(spark, sf):
+    """The relations over stored ledgers, totals and direct pairs, as the published job has each once."""
+    keep = lambda name, frame: staged(spark, src._key(spark, sf, f"taint_{name}"), lambda: frame)
     return taint.taint_propagation(
-        src.utxo_transactions(spark, sf), src.day_price(spark, sf), seed_tags(spark, sf), src.seed_labels(spark, sf)
+        src.utxo_transactions(spark, sf), src.day_price(spark, sf), seed_tags(spark, sf), src.seed_labels(spark, sf), keep
     )
 
 
