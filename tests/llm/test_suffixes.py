@@ -24,7 +24,7 @@ def plain(pairs, width=50):
                 covered.update(range(k, k + width))
             seen.add(run)
         for k in sorted(covered):
-            if out and out[-1][:2] == (i if has else None, digest) and out[-1][3] == k:
+            if out and tuple(out[-1][:2]) == (i if has else None, digest) and out[-1][3] == k:
                 out[-1][3] = k + 1
             else:
                 out.append([i if has else None, digest, k, k + 1])
