@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txloom.llm.components import components
-from txloom.llm.shared import WordHashes, mix64, signed, stored, texts, windows
+from txloom.llm.shared import WordHashes, dropped, mix64, signed, stored, texts, windows
 
 SHINGLE = 5
 PERCENT = 80
@@ -311,7 +311,13 @@ def jaccard_components(
     Rows with a null id keep it as doc_id; a component of such rows only has a null component_id. Of rows that
     share an id each has the component of its own text. An empty table gives an empty one.
     """
-    narrow = texts(docs, id_column, text_column)
+    classes, steps = _classes(texts(docs, id_column, text_column), percent, width)
+    dropped(*steps)
+    return classes
+
+
+def _classes(narrow: DataFrame, percent: int, width: int) -> tuple[DataFrame, list[DataFrame]]:
+    """The rows of jaccard_components, stored, and the stored tables they were made from."""
     described = _rows(narrow, width, percent)
     nodes = described.where("sketch is not null").groupBy("node").agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
     live = _live(described)
@@ -328,6 +334,7 @@ def jaccard_components(
     named = described.select("doc_id", "n_shingles", "node").join(members, "node", "left")
     named = named.withColumn("class", F.coalesce("component", "node"))
     smallest = named.where("node is not null").groupBy("class").agg(F.min("doc_id").alias("smallest"))
-    return named.join(smallest, "class", "left").select(
+    classes = named.join(smallest, "class", "left").select(
         "doc_id", "n_shingles", "node", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("smallest")).alias("component_id")
     )
+    return stored(classes, "jaccard-classes"), [described, live, sets]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import io
 import os
 import zipfile
@@ -70,7 +71,20 @@ def stored(df: DataFrame, name: str, bucketed: tuple[int, str] | None = None) ->
         writer.bucketBy(*bucketed).option("path", path).saveAsTable(named)
         return spark.table(named)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._llm_folder = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more. Shuffle files of their steps go as the driver collects garbage."""
+    for table_ in tables:
+        spark = table_.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(table_._llm_folder)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    gc.collect()
+    if tables:
+        tables[0].sparkSession._jvm.System.gc()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

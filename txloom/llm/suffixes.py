@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txloom.llm.shared import WordHashes, mix64, signed, stored, texts
+from txloom.llm.shared import WordHashes, dropped, mix64, signed, stored, texts
 
 #: Words of the shortest passage that counts, and of the core of a suffix.
 MIN_WORDS = 50
@@ -142,6 +142,13 @@ def repeated_spans(
     with the same id and text are one document: they repeat others but not each other. A null id is smaller
     than all others. An empty table gives an empty one.
     """
+    spans, steps = _spans(docs, min_words, core_words, id_column, text_column)
+    dropped(*steps)
+    return spans
+
+
+def _spans(docs: DataFrame, min_words: int, core_words: int, id_column: str, text_column: str) -> tuple[DataFrame, list[DataFrame]]:
+    """The spans, stored, and the stored tables they were made from."""
     spark = docs.sparkSession
     narrow = texts(docs, id_column, text_column)
 
@@ -215,7 +222,7 @@ def repeated_spans(
         .where(~same("doc_id", "at"))
         .select("doc_id", "at", F.col("at").alias("start"), (F.col("at") + min_words).alias("end"), F.col("first.doc_id").alias("first_doc_id"))
     )
-    return _joined(extended.unionByName(looked_up))
+    return stored(_joined(extended.unionByName(looked_up)), "spans"), [suffixes, matched, single]
 
 
 def _all(conditions: Iterable[Column]) -> Column:
