@@ -7,13 +7,14 @@ and the best of all parts are ranked.
 
 An inner product is made a distance by one more dimension, sqrt(M^2 - |x|^2) with the largest norm M, which
 is 0 for queries. The sampled rows in the leaves that a query opens are candidates like any others there, so
-the k-th best of them bounds its k-th best from below: worse rows need not leave their part.
+the k-th best id of them bounds its k-th best from below: worse rows need not leave their part. All cuts count
+ids, each at its best score, as an id may have many rows.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,13 +22,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txloom.llm.shared import stored
+from txloom.llm.shared import dropped, stored
 
 TREES = 8
 #: Rows of a leaf, about; sampled rows a leaf must hold bound the number of leaves.
 LEAF_ROWS = 100
 SAMPLED_LEAF_ROWS = 16
-#: Rows that trees are fitted on, at most: those whose hashed ids are smallest.
+#: Rows that trees are fitted on, at most: those whose hashes are smallest.
 FIT_ROWS = 20_000
 #: Share of all leaves that a query opens, and how many at least.
 OPEN_SHARE = 0.15
@@ -70,21 +71,25 @@ class Forest:
                     todo += [(int(self.children[node, 0]), at[above]), (int(self.children[node, 1]), at[~above])]
         return out
 
-    def search(self, q: np.ndarray, leaves: int) -> list[list[int]]:
-        """The leaves that each query opens, nearest first."""
+    def search(self, q: np.ndarray, leaves: int, enough: Callable[[int, list[int]], bool]) -> list[list[int]]:
+        """The leaves that each query opens, nearest first: `leaves`, then twice as many until they are `enough` for it or all."""
         margins = np.column_stack([q, np.zeros(len(q))]) @ self.normals.T - self.offsets
         children = self.children.tolist()
         found = []
-        for margin in margins:
-            margin, queue, own = margin.tolist(), [(-np.inf, root) for root in self.roots], []
-            while queue and len(own) < leaves:
-                key, node = heapq.heappop(queue)
-                if node < 0:
-                    own.append(~node)
-                else:
-                    m, (above, below) = margin[node], children[node]
-                    heapq.heappush(queue, (max(key, -m), above))
-                    heapq.heappush(queue, (max(key, m), below))
+        for n, margin in enumerate(margins):
+            margin, queue, own, limit = margin.tolist(), [(-np.inf, root) for root in self.roots], [], leaves
+            while True:
+                while queue and len(own) < limit:
+                    key, node = heapq.heappop(queue)
+                    if node < 0:
+                        own.append(~node)
+                    else:
+                        m, (above, below) = margin[node], children[node]
+                        heapq.heappush(queue, (max(key, -m), above))
+                        heapq.heappush(queue, (max(key, m), below))
+                if enough(n, own) or not queue:
+                    break
+                limit *= 2
             found.append(own)
         return found
 
@@ -166,6 +171,11 @@ def _parts(counts: dict[int, int], leaves: int) -> tuple[np.ndarray, np.ndarray]
     return first, many
 
 
+def _starts(ids: np.ndarray) -> np.ndarray:
+    """Where each id begins in sorted ids."""
+    return np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+
+
 def neighbours(
     vectors: DataFrame,
     is_query: Column,
@@ -179,25 +189,28 @@ def neighbours(
 
     `is_query` is an expression over vec_id. Ties go to the smaller id. Vectors null, zero, with null or non-finite components,
     of another dimension than most of the sample, or without id take no part. Of rows with one id, all are
-    candidates for other queries as one id with its best score, and none for a query of that id. Fewer
-    than `k` candidates give fewer rows, an empty table none.
+    candidates for other queries as one id with its best score, and none for a query of that id; equal rows
+    are one. A query whose leaves hold fewer than `k` sampled ids opens more. Fewer than `k` candidates give
+    fewer rows, an empty table none.
     """
     spark = vectors.sparkSession
-    usable = _usable(vectors, id_column, vector_column)
-    sampled = usable.orderBy(F.xxhash64("vec_id"), "vec_id").limit(fit_rows).toPandas()  # at most fit_rows rows
+    rows = stored(_usable(vectors, id_column, vector_column).dropDuplicates(["vec_id", "v"]), "forest-rows")
+    sampled = rows.orderBy(F.xxhash64("vec_id", "v"), "vec_id", "v").limit(fit_rows).toPandas()  # at most fit_rows rows
     sizes = sampled["v"].map(len) if len(sampled) else None
     dimension = int(sizes.mode()[0]) if len(sampled) else 0
     sampled = sampled[sizes == dimension] if len(sampled) else sampled
-    usable = usable.where(F.size("v") == dimension)
+    usable = rows.where(F.size("v") == dimension)
     squares = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     total, largest = usable.agg(F.count("*"), F.sqrt(F.max(squares))).first()
     if not total:
+        dropped(rows)
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     sample = np.stack(sampled["v"].to_numpy()).astype(np.float64)
     forest = fit_forest(sample, -(-total // LEAF_ROWS), float(largest))
     opened = max(OPEN_LEAVES, round(open_share * forest.leaves))
     kind = usable.schema["v"].dataType.simpleString()
-    shared = spark.sparkContext.broadcast((forest, sample, forest.route(sample), sampled["vec_id"].to_numpy()))  # bounded by fit_rows
+    by_id = np.argsort(sampled["vec_id"].to_numpy(), kind="stable")
+    shared = spark.sparkContext.broadcast((forest, sample[by_id], forest.route(sample[by_id]), sampled["vec_id"].to_numpy()[by_id]))  # bounded by fit_rows
 
     def index(batches: Iterable) -> Iterator[pa.RecordBatch]:
         forest = shared.value[0]
@@ -207,6 +220,7 @@ def neighbours(
                 yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("v"), pa.array(list(leaves), pa.list_(pa.int64()))], ["vec_id", "v", "leaves"])
 
     indexed = stored(usable.mapInArrow(index, f"vec_id long, v {kind}, leaves array<long>"), "forest-index")
+    dropped(rows)
     placed = indexed.select("vec_id", "v", F.explode("leaves").alias("leaf"))
     # one row a leaf, of which there are at most trees x sampled rows
     counts = {r["leaf"]: r["n"] for r in placed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
@@ -221,12 +235,13 @@ def neighbours(
             salt = batch.column("salt").to_numpy() % many[leaf]
             yield pa.RecordBatch.from_arrays([pa.array(first[leaf] + salt), *(batch.column(c) for c in ("leaf", "vec_id", "v"))], ["part", "leaf", "vec_id", "v"])
 
-    salted = placed.withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)))
+    salted = placed.withColumn("salt", F.pmod(F.xxhash64("vec_id", "v"), F.lit(1 << 30)))
     rows_ = salted.mapInArrow(place, f"part long, leaf long, vec_id long, v {kind}").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
 
     def ask(batches: Iterable) -> Iterator[pa.RecordBatch]:
         forest, sample, sample_leaves, names = shared.value
         first, many = layout.value
+        starts = _starts(names)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -235,13 +250,20 @@ def neighbours(
             scores[ids[:, None] == names[None, :]] = -np.inf
             bound, open_ = np.full(len(q), -np.inf), np.zeros(forest.leaves, bool)
             part, which, leaf = [], [], []
-            for n, own in enumerate(forest.search(q, opened)):
+
+            def enough(n: int, own: list[int]) -> bool:
                 open_[own] = True
-                met = scores[n][open_[sample_leaves].any(1)]
+                held = open_[sample_leaves].any(1)
                 open_[own] = False
-                if len(met) >= k:
-                    kth = np.partition(met, -k)[-k]
-                    bound[n] = kth - 1e-9 * (1 + abs(kth))
+                if len(starts) == len(names):
+                    met = scores[n][held]
+                else:
+                    met = np.maximum.reduceat(np.where(held, scores[n], -np.inf), starts)
+                kth = np.partition(met, -k)[-k] if len(met) >= k else -np.inf
+                bound[n] = kth - 1e-9 * (1 + abs(kth))
+                return kth > -np.inf
+
+            for n, own in enumerate(forest.search(q, opened, enough)):
                 by_part: dict[int, list[int]] = {}
                 for x in own:
                     for p in range(first[x], first[x] + many[x]):
@@ -266,6 +288,8 @@ def neighbours(
         q, v = _matrix(asked.column("q"), dimension), _matrix(held.column("v"), dimension)
         q_id, v_id, bound = (t.column(c).to_numpy() for t, c in ((asked, "query_id"), (held, "vec_id"), (asked, "bound")))
         leaf = held.column("leaf").to_numpy()
+        # what a product in another order may differ by
+        slack = 1e-15 * dimension * np.sqrt((q * q).sum(1)) * np.sqrt((v * v).sum(1).max())
         wanted = asked.column("leaves").combine_chunks()
         q_of, q_leaf = wanted.value_parent_indices().to_numpy(), wanted.flatten().to_numpy()
         q_of = q_of[np.argsort(q_leaf, kind="stable")]
@@ -274,14 +298,28 @@ def neighbours(
         for x in np.unique(leaf):
             at = np.flatnonzero(leaf == x)
             at = at[np.argsort(v_id[at], kind="stable")]
+            starts = _starts(v_id[at])
+            repeated = len(starts) < len(at)
+            copies = np.diff(np.r_[starts, len(at)])
             mine = q_of[np.searchsorted(q_leaf, x) : np.searchsorted(q_leaf, x, side="right")]
             step = max(1, _SCORED_AT_ONCE // len(at))
             for a in range(0, len(mine), step):
                 m = mine[a : a + step]
                 scores = q[m] @ v[at].T
                 scores[(q_id[m][:, None] == v_id[at][None, :]) | (scores < bound[m][:, None])] = -np.inf
+                if repeated or len(starts) > k and np.isneginf(bound[m]).any():
+                    top = np.maximum.reduceat(scores, starts, axis=1)
+                    least = top - slack[m][:, None]
+                    if len(starts) > k:
+                        least = np.maximum(least, (np.partition(top, -k, axis=1)[:, -k] - slack[m])[:, None])
+                    scores[scores < np.repeat(least, copies, axis=1)] = -np.inf
                 r, c = np.nonzero(scores > -np.inf)
                 exact = (q[m[r]] * v[at[c]]).sum(1)
+                if repeated:
+                    order = np.lexsort((-exact, v_id[at[c]], r))
+                    r, c, exact = r[order], c[order], exact[order]
+                    first = np.r_[True, (r[1:] != r[:-1]) | (v_id[at[c[1:]]] != v_id[at[c[:-1]]])][: len(r)]
+                    r, c, exact = r[first], c[first], exact[first]
                 order = np.lexsort((v_id[at[c]], -exact, r))
                 r, c, exact = r[order], c[order], exact[order]
                 firsts = np.searchsorted(r, r)
