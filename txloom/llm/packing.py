@@ -34,13 +34,13 @@ def token_pieces(
 ) -> DataFrame:
     """Each text's ids with `end_id` appended, cut into pieces of `capacity` and a rest.
 
-    A row a piece: doc_id, start, length, doc_tokens, ids_crc32. Null texts are empty and give a piece of one
+    A row a piece: doc_id, start, length, doc_tokens, ids_crc32. Added tokens in a text get their ids. Null texts are empty and give a piece of one
     id; rows with a null or repeated id give pieces of their own.
     """
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer_json)  # a vocabulary file
 
     def cut(batches: Iterable) -> Iterator[pa.RecordBatch]:
-        encode, end, step = encoder(shared.value).pack, end_id.to_bytes(4, "little"), 4 * capacity
+        encode, end, step = encoder(shared.value).pack_text, end_id.to_bytes(4, "little"), 4 * capacity
         for batch in batches:
             sizes, sums = [], []
             for text in batch.column("text").to_pylist():

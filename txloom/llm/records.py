@@ -66,7 +66,7 @@ def write_records(
 ) -> DataFrame:
     """Encode each text, append `end_id`, write records in ascending id order; returns the stored index.
 
-    Null texts are empty and give a record with the end id alone. Null ids come first. Rows that share an
+    Added tokens of the file that stand in a text get their ids. Null texts are empty and give a record with the end id alone. Null ids come first. Rows that share an
     id follow each other in an order fixed by their texts. No rows: no record, an empty index.
     """
     spark = docs.sparkSession
@@ -75,7 +75,7 @@ def write_records(
     end = struct.pack("<I", end_id)
 
     def write(batches: Iterable) -> Iterator[pa.RecordBatch]:
-        encode, part = encoder(shared.value).pack, TaskContext.get().partitionId()
+        encode, part = encoder(shared.value).pack_text, TaskContext.get().partitionId()
         store, root = fs.FileSystem.from_uri(folder)
         store.create_dir(root, recursive=True)
         name = f"part-{part:06d}-{uuid4().hex}.rec"

@@ -3,7 +3,8 @@
 The pattern that splits text before the merges never joins text across a space that has a non-space
 beside it: what comes before such a space ends there and the space starts the next pre-token. A text
 may be cut at these spaces and the ids of its pieces laid end to end. A worker encodes a piece once and
-remembers its packed ids; most of a corpus is lookups.
+remembers its packed ids; most of a corpus is lookups. Added tokens of the file are found in a text first,
+as the library does, and what is between them is encoded by pieces.
 """
 
 from __future__ import annotations
@@ -38,7 +39,10 @@ def _byte_letters() -> dict[int, str]:
 
 
 class TokenEncoder:
-    """Packed little-endian unsigned 32-bit ids of texts. A null text is empty; special tokens are ordinary text."""
+    """Packed little-endian unsigned 32-bit ids of texts. A null text is empty.
+
+    `pack_text` gives added tokens their ids; to `pack` they are ordinary text.
+    """
 
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
@@ -47,6 +51,13 @@ class TokenEncoder:
         before = form["pre_tokenizer"] or {}
         if form["normalizer"] or before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex"):
             raise ValueError("only tokenizers with byte-level pre-tokens and no normalizer can be encoded by pieces")
+        added = [x for x in form.get("added_tokens") or [] if x["content"]]
+        if any(x.get(flag) for x in added for flag in ("single_word", "lstrip", "rstrip")):
+            raise ValueError("added tokens that depend on what is beside them cannot be encoded by pieces")
+        self.added = {x["content"]: x["id"].to_bytes(4, "little") for x in added}
+        #: Patterns of added tokens, the longest first: normalized ones are looked for after the others.
+        kinds = [[x["content"] for x in added if bool(x.get("normalized")) is kind] for kind in (False, True)]
+        self.cuts = [re.compile("(" + "|".join(map(re.escape, sorted(own, key=len, reverse=True))) + ")") for own in kinds if own]
         self.tokenize = Tokenizer.from_str(tokenizer_json).model.tokenize
         self.split, self.letters = regex.compile(PATTERN).findall, _byte_letters()
         self.space = self.letters[ord(" ")]
@@ -104,6 +115,15 @@ class TokenEncoder:
                         out[k] = self._piece(" " + part)
         return self._piece(first) + b"".join(out)
 
+    def pack_text(self, text: str | None) -> bytes:
+        """Ids as the library gives them for a whole text, added tokens included."""
+        if not text or not any(x in text for x in self.added):
+            return self.pack(text)
+        parts = [(text, False)]
+        for cut in self.cuts:
+            parts = [(x, done or k % 2 == 1) for own, done in parts for k, x in enumerate([own] if done else cut.split(own))]
+        return b"".join(self.added[x] if done else self.pack(x) for x, done in parts)
+
 
 _encoders: dict[int, TokenEncoder] = {}
 
