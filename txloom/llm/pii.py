@@ -36,7 +36,7 @@ _END = r"(?![\w-])(?!\.\d)"
 _PATTERNS = [EMAIL, PHONE + r"(?!\d)", *(_FREE + p + _END for p in (IP, SSN, ISO_DATE, DAY_DATE, CARD)), "(?i:" + SECRET + r")(?![0-9A-Fa-f])"]
 ANY = "|".join(f"(?:{p})" for p in _PATTERNS).replace(r"\1", r"[./]").replace("([./])", "[./]")
 #: Seldom beside text without personal data: decides whether a text is looked at closely.
-HINT = r"@|\d[\d -]{7}|\d\.\d{1,3}\.\d|\d[./]\d\d[./]\d{4}|[0-9A-Fa-f]{32}"
+HINT = r"@|\+1[\d( .-]|\d[\d -]{7}|\d\.\d{1,3}\.\d|\d[./]\d\d[./]\d{4}|[0-9A-Fa-f]{32}"
 
 #: 1800 to 2199 is one turn of the Gregorian calendar: 400 years of 146,097 days = 189 x 773.
 FIRST_DAY = "1800-01-01"
