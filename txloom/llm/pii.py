@@ -5,7 +5,8 @@ format: a number stays a number of that kind, a date stays a date. The network i
 values get equal pseudonyms in every document and different values different ones. The halves live in
 Z_a x Z_b and each round adds a keyed digest of one half to the other.
 
-* card: 13 to 19 digits, maybe grouped, with a right Luhn digit; the first digits are permuted, the check digit is made anew
+* card: 13 to 19 digits, maybe grouped, with a right Luhn digit; the first digits are permuted, the check digit is made anew.
+  Beside other numbers every cut of whole groups is tried, the usual groupings first, then the leftmost and longest
 * phone: +1 (ddd) ddd-dddd, or +1 and ten digits grouped by spaces, dots or hyphens; the ten digits
 * ssn: ddd-dd-dddd, not 000, 666 or 9dd, group and serial not zero; the nine digits
 * ip: four numbers from 0 to 255; the 32 bits
@@ -33,7 +34,13 @@ SECRET = r"(?<=(?:token|secret|password|passwd|api_key|apikey|key)[ ]?[=:][ ]?[\
 
 _FREE = r"(?<![\w+-])(?<!\d\.)"
 _END = r"(?![\w-])(?!\.\d)"
-_PATTERNS = [EMAIL, PHONE + r"(?!\d)", *(_FREE + p + _END for p in (IP, SSN, ISO_DATE, DAY_DATE, CARD)), "(?i:" + SECRET + r")(?![0-9A-Fa-f])"]
+# Numbers beside each other: any count of units parted by single spaces, a unit being groups parted by hyphens. Dates
+# and numbers of another kind are no unit. Possessive, as the regex engine keeps a frame for each repetition otherwise.
+_UNIT = rf"(?!(?:{SSN}|\d{{4}}-\d{{2}}-\d{{2}}){_END})(?!\d{{2}}/\d{{2}}/\d{{4}})\d{{1,19}}+(?:-\d{{1,19}}+)*+{_END}"
+RUN = rf"(?=\d(?:[ -]?\d){{12}}){_UNIT}(?: {_UNIT})*+"
+#: The usual groupings of cards.
+CARD_GROUPS = r"\d{13,19}|\d{4}(?:[ -]\d{4}){2}[ -]\d{1,4}(?:[ -]\d{1,3})?|\d{4}[ -]\d{6}[ -]\d{4,5}"
+_PATTERNS = [EMAIL, PHONE + r"(?!\d)", *(_FREE + p + _END for p in (IP, SSN, ISO_DATE, DAY_DATE)), "(?i:" + SECRET + r")(?![0-9A-Fa-f])", _FREE + RUN]
 ANY = "|".join(f"(?:{p})" for p in _PATTERNS).replace(r"\1", r"[./]").replace("([./])", "[./]")
 #: Seldom beside text without personal data: decides whether a text is looked at closely.
 HINT = r"@|\+1[\d( .-]|\d[\d -]{7}|\d\.\d{1,3}\.\d|\d[./]\d\d[./]\d{4}|[0-9A-Fa-f]{32}"
@@ -103,16 +110,74 @@ def _digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
 
-def _card(h: Column, key: str) -> Column:
+def _is_card(d: Column) -> Column:
+    """Whether digits alone are as many as those of a card, with a right Luhn digit."""
+    n = F.length(d)
+    return n.between(13, 19) & ((_luhn_sum(F.substr(d, F.lit(1), n - 1)) + F.substr(d, n).cast("int")) % 10 == 0)
+
+
+def _permuted_card(h: Column, key: str) -> Column:
     def of(d: Column) -> Column:
-        body, n = F.substr(d, F.lit(1), F.length(d) - 1), F.length(d)
-        right = (_luhn_sum(body) + F.substr(d, n).cast("int")) % 10 == 0
+        body = F.substr(d, F.lit(1), F.length(d) - 1)
         made = _bound(_permuted_digits(body, "card", key), lambda p: F.concat(p, ((10 - _luhn_sum(p) % 10) % 10).cast("string")))
-        return F.when(right, _bound(made, lambda m: _refilled(h, m))).otherwise(h)
+        return _bound(made, lambda m: _refilled(h, m))
 
     return _bound(_digits(h), of)
 
 
+def _groups(run: Column) -> Column:
+    """The groups of a run, each with the separator behind it."""
+    return F.regexp_extract_all(run, F.lit("[0-9]+[ -]?"), 0)
+
+
+def _joined(groups: Column, at: Column, n: Column) -> Column:
+    return F.array_join(F.slice(groups, at, n), "")
+
+
+def _cuts(groups: Column) -> Column:
+    """The cards among groups: array<struct<prev, at, n>>, n groups from the at-th on; prev is where the cut before ends.
+
+    All groups if they are one card; else those in a usual grouping, from the left and the longest first, and
+    between them any other whole groups with a right check digit. The work grows with the number of groups.
+    """
+    kind = "array<struct<prev:int,at:int,n:int>>"
+    size = F.size(groups)
+
+    def longest(at: Column, most: int, fits) -> Column:
+        counts = F.sequence(F.lit(1), F.least(F.lit(most), size - at + 1))
+        right = lambda n: _bound(_joined(groups, at, n), lambda x: fits(at, n, x) & _bound(_digits(x), _is_card))
+        return F.coalesce(F.array_max(F.filter(counts, right)), F.lit(0))
+
+    def chosen(usual: Column) -> Column:
+        other = lambda at: longest(at, 19, lambda at, n, x: ~F.exists(F.slice(usual, at + 1, n - 1), lambda u: u > 0))
+        found = F.transform(F.sequence(F.lit(1), size), lambda at: _bound(F.element_at(usual, at), lambda u: F.when(u > 0, u).otherwise(other(at))))
+        start = F.struct(F.lit(1).alias("free"), F.array().cast(kind).alias("cuts"))
+
+        def take(state: Column, pair: Column) -> Column:
+            cut = F.struct(state["free"].alias("prev"), pair["at"].alias("at"), pair["n"].alias("n"))
+            taken = F.struct((pair["at"] + pair["n"]).alias("free"), F.concat(state["cuts"], F.array(cut)).alias("cuts"))
+            return F.when((pair["n"] > 0) & (pair["at"] >= state["free"]), taken).otherwise(state)
+
+        pairs = F.transform(found, lambda n, k: F.struct((k + 1).alias("at"), n.alias("n")))
+        return F.aggregate(pairs, start, take)["cuts"]
+
+    usual = F.transform(F.sequence(F.lit(1), size), lambda at: longest(at, 5, lambda at, n, x: x.rlike(f"^(?:{CARD_GROUPS})[ -]?$")))
+    whole = F.array(F.struct(F.lit(1).alias("prev"), F.lit(1).alias("at"), size.alias("n"))).cast(kind)
+    return F.when((size <= 19) & _bound(_digits(_joined(groups, F.lit(1), size)), _is_card), whole).otherwise(_bound(usual, chosen))
+
+
+def _cards(h: Column, key: str) -> Column:
+    """A run of numbers with the cards in it permuted."""
+
+    def shown(groups: Column, cuts: Column) -> Column:
+        made = F.transform(cuts, lambda c: F.concat(_joined(groups, c["prev"], c["at"] - c["prev"]), _permuted_card(_joined(groups, c["at"], c["n"]), key)))
+        last = F.element_at(cuts, -1)
+        after = last["at"] + last["n"]
+        return F.when(F.size(cuts) > 0, F.concat(F.array_join(made, ""), _joined(groups, after, F.size(groups) - after + 1))).otherwise(h)
+
+    return _bound(_groups(h), lambda groups: _bound(_cuts(groups), lambda cuts: shown(groups, cuts)))
+
+
 def _phone(h: Column, key: str) -> Column:
     return _bound(F.concat(F.lit("1"), _permuted_digits(F.substr(_digits(h), F.lit(2)), "phone", key)), lambda d: _refilled(h, d))
 
@@ -175,14 +240,15 @@ def _secret(h: Column, key: str) -> Column:
     return F.when(h == F.upper(h), F.upper(made)).otherwise(made)
 
 
+_NUMBERS = "[0-9]++(?:[ -][0-9]++)*+"
 _KINDS = [
     ("email", EMAIL, _email),
     ("phone", PHONE, _phone),
     ("ip", IP, _ip),
     ("ssn", SSN, _ssn),
     ("date", f"{ISO_DATE}|{DAY_DATE}", _date),
-    ("card", CARD, _card),
     ("secret", "[0-9A-Fa-f]{32,64}", _secret),
+    ("card", _NUMBERS, _cards),
 ]
 
 
@@ -217,5 +283,12 @@ def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY, text_column: str = "te
 
 def replaced(before: Column, after: Column) -> Column:
     """How many values differ between a text and its pseudonymised form."""
-    pairs = F.zip_with(_hits(before), _hits(after), lambda x, y: F.when(x == y, 0).otherwise(1))
+
+    def differing(x: Column, y: Column) -> Column:
+        of = lambda g, h: F.size(F.filter(_cuts(g), lambda c: _joined(g, c["at"], c["n"]) != _joined(h, c["at"], c["n"])))
+        cards = _bound(_groups(x), lambda g: _bound(_groups(y), lambda h: of(g, h)))
+        # a run of numbers may hold several cards
+        return F.when(x == y, 0).when(x.rlike(f"^{_NUMBERS}$") & x.rlike("(?:[0-9][ -]?){26}"), F.greatest(cards, F.lit(1))).otherwise(1)
+
+    pairs = F.zip_with(_hits(before), _hits(after), differing)
     return F.when(before == after, 0).otherwise(F.coalesce(F.aggregate(pairs, F.lit(0), lambda s, x: s + x), F.lit(0))).cast("long")
