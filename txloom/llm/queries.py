@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from txloom.llm import ann, bpe, jaccard, licenses, packing, pii, records, repetition, suffixes, toxicity
+from txloom.llm import ann, bpe, decontaminate, jaccard, licenses, packing, pii, records, repetition, resample, suffixes, toxicity
 from txloom.llm.shared import session, shared_folder, table
 from txloom.llm.tokens import read_tokenizer
 
@@ -89,6 +89,24 @@ def op10_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeated_spans(table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return made.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["after"] - s["first"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 _ALL: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_token_records,
     op2_license_scan,
@@ -100,6 +118,8 @@ _ALL: list[Callable[[SparkSession, str], DataFrame]] = [
     op8_repetition_rules,
     op9_packed_sequences,
     op10_repeated_spans,
+    op11_importance_resampling,
+    op12_decontamination,
 ]
 
 
@@ -109,4 +129,8 @@ def _over(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: _over(q) for q in _ALL}
 
-ORACLE_SQL: dict[str, str] = {"op2_license_scan": licenses.duckdb_sql()}
+ORACLE_SQL: dict[str, str] = {
+    "op2_license_scan": licenses.duckdb_sql(),
+    "op11_importance_resampling": resample.duckdb_sql(),
+    "op12_decontamination": decontaminate.duckdb_sql(),
+}
