@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from txloom.llm import ann, bpe, decontaminate, jaccard, licenses, packing, pii, records, repetition, resample, suffixes, toxicity
+from txloom.llm import ann, bpe, decontaminate, jaccard, licenses, negatives, packing, pii, records, repetition, resample, suffixes, toxicity
 from txloom.llm.shared import session, shared_folder, table
 from txloom.llm.tokens import read_tokenizer
 
@@ -107,6 +107,12 @@ def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", relabelled)
+    return negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
 _ALL: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_token_records,
     op2_license_scan,
@@ -120,6 +126,7 @@ _ALL: list[Callable[[SparkSession, str], DataFrame]] = [
     op10_repeated_spans,
     op11_importance_resampling,
     op12_decontamination,
+    op13_hard_negatives,
 ]
 
 
@@ -133,4 +140,5 @@ ORACLE_SQL: dict[str, str] = {
     "op2_license_scan": licenses.duckdb_sql(),
     "op11_importance_resampling": resample.duckdb_sql(),
     "op12_decontamination": decontaminate.duckdb_sql(),
+    "op13_hard_negatives": negatives.duckdb_sql(),
 }
