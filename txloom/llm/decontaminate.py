@@ -82,7 +82,7 @@ class Class:
 
     def __init__(self, found: dict[bytes, list[str | None]]):
         self.m = m = min(map(len, found))
-        self.block = block = max(2, min(BLOCK, m // 3))
+        self.block = block = min(m, max(2, min(BLOCK, m // 3)))
         self.most = m - block + 1
         shift: dict[bytes, int] = {}
         self.buckets: dict[bytes, dict[int, dict[bytes, list[str | None]]]] = {}

@@ -26,12 +26,14 @@ _SLACK = 1e-6
 
 @dataclass
 class Node:
-    """Rows first .. after of the tree; an inner node has children, split points (rows) and their ranges [split, child]."""
+    """Rows first .. after of the tree; an inner node has children, split points, which of
+    them own the children, and the ranges [split, child]."""
 
     first: int
     after: int
     children: list["Node"] = field(default_factory=list)
     splits: np.ndarray | None = None
+    used: np.ndarray | None = None
     nearest: np.ndarray | None = None
     farthest: np.ndarray | None = None
 
@@ -77,7 +79,7 @@ class Tree:
         if sizes.max() == len(rows):
             return node  # rows that no split point tells apart
         node.splits = self.x[splits].copy()
-        used = np.flatnonzero(sizes)
+        node.used = used = np.flatnonzero(sizes)
         node.nearest = np.stack([distances[child == c].min(0) for c in used], 1)
         node.farthest = np.stack([distances[child == c].max(0) for c in used], 1)
         moved = rows[np.argsort(child, kind="stable")]
@@ -88,17 +90,35 @@ class Tree:
         return node
 
     def search(self, queries: np.ndarray, best: "Best") -> None:
-        """Offer `best` every row that may still enter it, a leaf at a time."""
+        """Offer `best` every row that may still enter it, a leaf at a time. One leaf of each query, where the first rows
+        of its window are likely, is read before that: its k-th score is a floor that narrows the window."""
         norms = np.einsum("ij,ij->i", queries, queries)
+        likely = best.empty()
+        self._descend(self.root, np.arange(len(queries)), queries, norms, likely)
+        best.narrow(likely)
         self._visit(self.root, np.arange(len(queries)), queries, norms, best)
 
+    def _to_splits(self, node: Node, queries: np.ndarray, norms: np.ndarray) -> np.ndarray:
+        return np.sqrt(np.maximum(norms[:, None] + self.square - 2 * (queries @ node.splits.T), 0))
+
+    def _descend(self, node: Node, here: np.ndarray, queries: np.ndarray, norms: np.ndarray, best: "Best") -> None:
+        if not node.children:
+            rows = slice(node.first, node.after)
+            best.offer(here, queries[here] @ self.x[rows].T, self.order[rows])
+            return
+        _, high = best.window(here)
+        inner = np.sqrt(np.maximum(norms[here] + self.square - 2 * high, 0))
+        child = np.abs(self._to_splits(node, queries[here], norms[here])[:, node.used] - inner[:, None]).argmin(1)
+        for c in np.unique(child):
+            self._descend(node.children[c], here[child == c], queries, norms, best)
+
     def _visit(self, node: Node, alive: np.ndarray, queries: np.ndarray, norms: np.ndarray, best: "Best") -> None:
         if not node.children:
             self.leaves_seen += len(alive)
             rows = slice(node.first, node.after)
             best.offer(alive, queries[alive] @ self.x[rows].T, self.order[rows])
             return
-        to_split = np.sqrt(np.maximum(norms[alive, None] + self.square - 2 * (queries[alive] @ node.splits.T), 0))
+        to_split = self._to_splits(node, queries[alive], norms[alive])
         # lower bound of the distance to any row of a child, over all split points
         at_least = np.maximum(to_split[:, :, None] - node.farthest, node.nearest - to_split[:, :, None]).max(1)
         at_most = (to_split[:, :, None] + node.farthest).min(1)
@@ -114,8 +134,7 @@ class Tree:
 class Best:
     """The k first rows of each query: highest product first, ties by smaller id, within a window of products.
 
-    `same` says whether a row must have the query's label or another one. `floors` may rise above the lower ends of the
-    windows where k rows that reach them are known.
+    `same` says whether a row must have the query's label or another one.
     """
 
     def __init__(self, k: int, low: np.ndarray, high: np.ndarray, labels: np.ndarray, same: bool):
@@ -124,6 +143,15 @@ class Best:
         self.scores = np.full((n, k), -np.inf)
         self.ids = np.full((n, k), np.iinfo(np.int64).max)
 
+    def empty(self) -> "Best":
+        out = Best(self.k, self.low, self.high, self.labels, self.same)
+        out.rows(self.row_ids, self.row_labels)
+        return out
+
+    def narrow(self, found: "Best") -> None:
+        """Rows below the k-th of those found elsewhere do not matter."""
+        self.low = np.maximum(self.low, found.scores[:, -1])
+
     def rows(self, ids: np.ndarray, labels: np.ndarray) -> None:
         """The rows that are offered next, by their numbers."""
         self.row_ids, self.row_labels = ids, labels

@@ -22,11 +22,12 @@ MEMO_ENTRIES = 300_000
 
 
 def _ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors, unless they find it as the driver does by PYTHONPATH or working folder."""
+    """Send this package to the executors, which may stand on machines that do not have it."""
+    if spark.sparkContext.master.startswith("local["):
+        return  # driver and executors are one process
     package = Path(__file__).resolve().parents[1]
     name = f"{shared_folder(spark)}/{package.name}.zip"
-    paths = {os.path.abspath(p or ".") for p in ["", *os.environ.get("PYTHONPATH", "").split(os.pathsep)]}
-    if str(package.parent) in paths or name in _shipped:
+    if name in _shipped:
         return
     data = io.BytesIO()
     with zipfile.ZipFile(data, "w") as z:
