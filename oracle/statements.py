@@ -457,6 +457,12 @@ def oracle_sql() -> dict[str, str]:
         "sink_snapshot": _ORDERS,
         "sink_partition_reload": f"select * from ({_ORDERS}) where o_orderstatus = 'P' or o_orderstatus = 'O' and price > 100000",
         "sink_bucketed": f"select *, o_custkey % 16 as pt from ({_ORDERS})",
+        "sink_full_reload": f"select * from ({_ORDERS}) where o_orderstatus = 'F'",
+        "sink_new_only_runs": "select o_custkey, min(year(o_orderdate)) as year from orders group by o_custkey having min(year(o_orderdate)) between 1992 and 1995",
+        "mart_turnover": statement("""
+            select address, round(sent, 6) as sent, out_cnt::double as out_cnt, round(received, 6) as received, in_cnt::double as in_cnt
+            from (select src as address, sum(v) as sent, count(*) as out_cnt from edge_part group by src)
+            full join (select dst as address, sum(v) as received, count(*) as in_cnt from edge_part group by dst) using (address)"""),
         # --- primitives ---
         "hex_bucket": statement(f"""
             select address, {_hex("address")} as hex_pt, {_md5_pt("address")} as md5_pt from (select distinct src as address from etx)"""),

@@ -6,7 +6,7 @@ input names (see `schemas.INPUTS`) to DataFrames, `out` is the folder of the res
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame
@@ -26,7 +26,7 @@ from txloom.operators import (
     transfer_graph,
     value_flow,
 )
-from txloom.sources import sinks
+from txloom.sources import marts, sinks
 
 Tables = Mapping[str, DataFrame]
 
@@ -67,12 +67,27 @@ def _with_stored(fresh: DataFrame, stored: DataFrame | None) -> DataFrame:
     return fresh if stored is None else stored.unionByName(fresh)
 
 
-def utxo_graph(flow: DataFrame, out: str) -> None:
-    """Transfer edges in both physical orders."""
-    spark = flow.sparkSession
-    sinks.write_bucketed(transfer_graph.utxo_transfers(flow), f"{out}/transfers", ["from_address", "to_address"])
-    edges = spark.read.parquet(f"{out}/transfers")
-    sinks.copy_by_receiver(edges, transfer_graph.utxo_transfers_by_receiver, f"{out}/transfers_2")
+def utxo_graph(flow: DataFrame, out: str, table: str = "utxo_transfers") -> None:
+    """Transfer edges in both physical orders, as marts `table` and `table`_2."""
+    _both_orders(transfer_graph.utxo_transfers(flow), transfer_graph.utxo_transfers_by_receiver, out, table)
+
+
+def token_graph(tables: Tables, out: str, table: str = "token_transfers") -> None:
+    """Native and token edges in both physical orders, as marts `table` and `table`_2."""
+    tx, price, late = tables["account_transactions"], tables["token_price"], tables["status_backfill"]
+    tokens = token_flow.valid_tokens(price, [tables["token_decimals"]])
+    direct = token_flow.direct_token_transfers(tables["token_transfers"], tx, tokens, scale="divide")
+    edges = transfer_graph.token_transfers_graph(tables["traces"], tx, direct, price, late)
+    _both_orders(edges, transfer_graph.token_transfers_by_receiver, out, table)
+
+
+def _both_orders(edges: DataFrame, by_receiver: Callable[[DataFrame], DataFrame], out: str, table: str) -> None:
+    """Edges are computed once; what deals them to buckets, and the second order, read the stored ones."""
+    spark = edges.sparkSession
+    sinks.reload(edges, f"{out}/edges")
+    stored = spark.read.parquet(f"{out}/edges")
+    marts.write_mart(stored, table, f"{out}/transfers", "from_address", ["to_address"])
+    marts.write_mart(by_receiver(stored), f"{table}_2", f"{out}/transfers_2", "to_address", ["from_address"])
 
 
 def utxo_risk(tables: Tables, union_tags: DataFrame, out: str, now: datetime) -> DataFrame:
@@ -90,7 +105,8 @@ def utxo_risk(tables: Tables, union_tags: DataFrame, out: str, now: datetime) ->
     sinks.reload(taint.taint_propagation(tx, price, seeds, curated, keep), f"{out}/propagated_tags")
     propagated = spark.read.parquet(f"{out}/propagated_tags")
     scores = score.utxo_address_score(propagated, union_tags, tables["risk_weights"], now)
-    sinks.write_bucketed(scores, f"{out}/address_score", ["address"])
+    sinks.reload(scores, f"{out}/scores")
+    marts.write_mart(spark.read.parquet(f"{out}/scores"), "utxo_address_score", f"{out}/address_score")
     return spark.read.parquet(f"{out}/address_score")
 
 
@@ -120,7 +136,8 @@ def account_risk(tables: Tables, union_tags: DataFrame, out: str, now: datetime)
     sinks.reload(taint.account_exposure(transfers, tables["account_labels"]), f"{out}/propagated_tags")
     propagated = spark.read.parquet(f"{out}/propagated_tags")
     scores = score.account_address_score(tables["account_labels"], propagated, union_tags, tables["risk_weights"], now)
-    sinks.write_bucketed(scores, f"{out}/address_score", ["address"])
+    sinks.reload(scores, f"{out}/scores")
+    marts.write_mart(spark.read.parquet(f"{out}/scores"), "account_address_score", f"{out}/address_score")
     return spark.read.parquet(f"{out}/address_score")
 
 

@@ -33,7 +33,7 @@ from txloom.operators import (
     value_flow,
 )
 from txloom.sources import derived as src
-from txloom.sources import sinks
+from txloom.sources import marts, sinks
 from txloom.sources.staging import staged, staging_root
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -676,18 +676,58 @@ def q_sink_snapshot(spark, sf):
     return last
 
 
+def _mart(spark, sf, name, df, address, cluster_by=()):
+    """The mart `name` of the samples: one per application and input, replaced by each call."""
+    table = src._key(spark, sf, f"mart_{name}").replace("-", "_")
+    return marts.write_mart(df, table, f"{staging_root(spark)}/marts/{table}", address, cluster_by, buckets=16)
+
+
 def q_sink_bucketed(spark, sf):
-    path = _folder(spark, "bucketed")
-    sinks.write_bucketed(_orders(spark, sf).withColumn("pt", F.col("o_custkey") % 16), path, ["o_custkey"])
-    return spark.read.parquet(path)
+    """Orders as a mart by customer, with the published bucket number."""
+    return _mart(spark, sf, "orders", _orders(spark, sf).withColumn("pt", F.col("o_custkey") % 16), "o_custkey", ["o_orderkey"])
+
+
+def stored_edges(spark, sf):
+    return staged(spark, src._key(spark, sf, "utxo_edges"), lambda: _utxo_edges(spark, sf))
+
+
+def _edges_by_receiver(spark, sf):
+    edges = transfer_graph.utxo_transfers_by_receiver(stored_edges(spark, sf))
+    return _mart(spark, sf, "edges_2", edges, "to_address", ["from_address"])
 
 
 def q_sink_second_order(spark, sf):
-    """The edges of the transfer graph by receiver, from the stored ones by sender."""
-    first, second = _folder(spark, "edges"), _folder(spark, "edges-2")
-    sinks.write_bucketed(_utxo_edges(spark, sf), first, ["from_address", "to_address"])
-    sinks.copy_by_receiver(spark.read.parquet(first), transfer_graph.utxo_transfers_by_receiver, second)
-    return _rounded_stats(spark.read.parquet(second), USD)
+    """The edges of the transfer graph by receiver, from the stored ones."""
+    return _rounded_stats(_edges_by_receiver(spark, sf), USD)
+
+
+def q_sink_full_reload(spark, sf):
+    """A table replaced as a whole, twice: the second rows alone stay."""
+    path, orders = _folder(spark, "whole"), _orders(spark, sf)
+    for kept in ("O", "F"):
+        sinks.reload(orders.where(F.col("o_orderstatus") == kept), path)
+    return spark.read.parquet(path)
+
+
+def q_sink_new_only_runs(spark, sf):
+    """Customers by the year of their first order, up to 1995: each run appends those that no earlier run has; one run is repeated,
+    and the first runs are folded into one."""
+    root = _folder(spark, "runs")
+    orders = src.table(spark, sf, "orders").select("o_custkey", F.year("o_orderdate").alias("year"))
+    for year in (1992, 1993, 1994, 1994, 1995):
+        fresh = orders.where(F.col("year") == year).select("o_custkey", "year").distinct()
+        sinks.append_run(spark, root, str(year), lambda kept, fresh=fresh: new_only(fresh, kept, ["o_custkey"]))
+    sinks.compact_runs(spark, root, "1993")
+    return sinks.read_runs(spark, root)
+
+
+def q_mart_turnover(spark, sf):
+    """What each address sent and received, from the two orders of the graph: grouped and joined without a shuffle."""
+    sent = _mart(spark, sf, "edges", stored_edges(spark, sf), "from_address", ["to_address"])
+    received = _edges_by_receiver(spark, sf)
+    out = sent.groupBy(F.col("from_address").alias("address")).agg(F.sum("to_amount").alias("sent"), F.sum("transaction_cnt").cast("double").alias("out_cnt"))
+    into = received.groupBy(F.col("to_address").alias("address")).agg(F.sum("to_amount").alias("received"), F.sum("transaction_cnt").cast("double").alias("in_cnt"))
+    return rounded(out.join(into, "address", "full_outer"), sent=COINS, received=COINS)
 
 
 _ALL: dict[str, Query] = {

@@ -1,10 +1,11 @@
-"""Writing results: append, full reload, partition reload, versioned snapshots, bucketed tables."""
+"""Writing results: append, full reload, partition reload, versioned snapshots, append-only runs, tables changed by bucket."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -22,38 +23,99 @@ def reload_partitions(
 ) -> None:
     """Replace whole partitions, so a repeated run leaves the same table.
 
-    `values` are the partitions the run answers for: each is replaced, also by nothing. Without them
-    those that `df` has rows for are replaced. A coarse partition (a month of old value flow) must be
-    rebuilt whole. Adaptive execution splits and merges the partitions to files of even size.
+    `values` are the partitions the run answers for: each is replaced, also by nothing, and rows of any other
+    partition are an error. Without them those that `df` has rows for are replaced. A coarse partition (a month of
+    old value flow) must be rebuilt whole. Adaptive execution splits and merges the partitions to files of even size.
+
+    The new rows are written beside the table, where readers do not look, and then take the place of the old ones by
+    renames: until then the table is as before, and `df` may read it. A run that dies while it renames leaves the old
+    partition set aside; the next reload of that partition puts it back first, and so does `recover_partitions`.
     """
-    placed = df.hint("rebalance", partition_by, *spread)
-    if values is not None:
-        _drop_partitions(df.sparkSession, path, partition_by, values)
-        placed = placed.where(F.col(partition_by).isin([str(v) for v in values]) if _is_text(df, partition_by) else F.col(partition_by).isin(list(values)))
-    placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path)
+    spark = df.sparkSession
+    beside = f"{path}/_new-{uuid4().hex}"
+    df.hint("rebalance", partition_by, *spread).write.partitionBy(partition_by).parquet(beside)
+    made = {n for n in _children(spark, beside) if n.startswith(f"{partition_by}=")}
+    named = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    wanted = made if values is None else {named(partition_by, None if v is None else str(v)) for v in values}
+    if made - wanted:
+        _delete(spark, beside)
+        raise ValueError(f"rows outside the partitions of this run: {', '.join(sorted(made - wanted)[:5])}")
+    recover_partitions(spark, path, wanted)
+    _replace(spark, path, beside, made, wanted)
+
+
+def _replace(spark: SparkSession, path: str, beside: str, made: set[str], wanted: set[str]) -> None:
+    aside = f"{path}/_old-{uuid4().hex}"
+    for name in sorted(wanted):
+        if _exists(spark, f"{path}/{name}"):
+            _move(spark, f"{path}/{name}", f"{aside}/{name}")
+        if name in made:
+            _move(spark, f"{beside}/{name}", f"{path}/{name}")
+    _delete(spark, aside)
+    _delete(spark, beside)
+
+
+def recover_partitions(spark: SparkSession, path: str, names: set[str] | None = None) -> None:
+    """Put back the partitions (all, or those with these folder names) that a lost reload had set aside and not replaced."""
+    if not _exists(spark, path):
+        return
+    for aside in [n for n in _children(spark, path) if n.startswith("_old-")]:
+        for name in _children(spark, f"{path}/{aside}"):
+            if (names is None or name in names) and not _exists(spark, f"{path}/{name}"):
+                _move(spark, f"{path}/{aside}/{name}", f"{path}/{name}")
+
+
+# --- folders, through Hadoop's file systems ---------------------------------------------------------
+
+
+def _folder(spark: SparkSession, path: str) -> tuple:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, folder = _folder(spark, path)
+    return fs.exists(folder)
 
 
-def _is_text(df: DataFrame, column: str) -> bool:
-    return df.schema[column].dataType.simpleString() == "string"
+def _children(spark: SparkSession, path: str) -> list[str]:
+    fs, folder = _folder(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(folder))
 
 
-def _drop_partitions(spark: SparkSession, path: str, partition_by: str, values: Sequence[object]) -> None:
-    """Delete the folders of partitions. The run that follows writes them anew; if it is lost it is repeated."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    for value in values:
-        folder = hadoop.Path(f"{path}/{partition_by}={value}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, folder = _folder(spark, path)
+    fs.delete(folder, True)
+
+
+def _make(spark: SparkSession, path: str) -> None:
+    fs, folder = _folder(spark, path)
+    fs.mkdirs(folder)
+
+
+def _mark(spark: SparkSession, path: str) -> None:
+    fs, file = _folder(spark, path)
+    fs.create(file, True).close()
+
+
+def _move(spark: SparkSession, old: str, new: str) -> None:
+    fs, source = _folder(spark, old)
+    target = spark._jvm.org.apache.hadoop.fs.Path(new)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(source, target):
+        raise OSError(f"could not rename {old} to {new}")
 
 
 def write_bucketed(df: DataFrame, path: str, cluster_by: Sequence[str], bucket: str = "pt", files: int | None = None) -> None:
     """Write a table laid out by bucket and then by its cluster columns.
 
-    Rows are dealt by bucket in one shuffle, without a run before it to sample ranges; adaptive execution splits
-    heavy buckets and merges light ones. Row groups are sorted, so a read of one bucket or address skips the
-    rest by min/max.
+    Row groups are sorted, so a read of one bucket or address skips the rest by min/max. With `files` rows are dealt by
+    ranges of (bucket, cluster columns): a heavy bucket lies in several files, at the price of a run over the last stage
+    of `df` that samples the ranges. Without it they are dealt by bucket, and adaptive execution splits what is larger
+    than a partition should be and merges what is smaller.
     """
     keys = [bucket, *cluster_by]
-    laid_out = df.repartition(files, bucket) if files else df.hint("rebalance", bucket)
+    laid_out = df.repartitionByRange(files, *keys) if files else df.hint("rebalance", bucket)
     laid_out.sortWithinPartitions(*keys).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
@@ -62,13 +124,15 @@ def write_bucketed(df: DataFrame, path: str, cluster_by: Sequence[str], bucket:
 
 def _versions(spark: SparkSession, root: str) -> list[str]:
     """Complete versions below `root`, oldest first."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    path = hadoop.Path(root)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
+    return _complete(spark, root, "v=", "_SUCCESS")
+
+
+def _complete(spark: SparkSession, root: str, prefix: str, marker: str) -> list[str]:
+    """What follows `prefix` in the names of the folders below `root` that hold `marker`, sorted."""
+    if not _exists(spark, root):
         return []
-    names = [s.getPath().getName() for s in fs.listStatus(path)]
-    return sorted(n[2:] for n in names if n.startswith("v=") and fs.exists(hadoop.Path(f"{root}/{n}/_SUCCESS")))
+    found = [n for n in _children(spark, root) if n.startswith(prefix)]
+    return sorted(n.removeprefix(prefix) for n in found if _exists(spark, f"{root}/{n}/{marker}"))
 
 
 def read_snapshot(spark: SparkSession, root: str, before: str | None = None) -> DataFrame | None:
@@ -96,7 +160,106 @@ def update_snapshot(
     return spark.read.parquet(f"{root}/v={version}")
 
 
-def copy_by_receiver(df: DataFrame, rebucket: Callable[[DataFrame], DataFrame], path: str) -> None:
-    """Second physical order of an edge table: rebucketed and laid out by the receiving address."""
-    write_bucketed(rebucket(df), path, ["to_address", "from_address"])
+# --- append-only runs: tables that grow by what a run finds new --------------------------------------
+
+
+def read_runs(spark: SparkSession, root: str, before: str | None = None) -> DataFrame | None:
+    """All rows of the complete runs (those before `before`). None if there are none."""
+    folded = _complete(spark, root, "all=", "_SUCCESS")
+    runs = [r for r in _complete(spark, root, "run=", "_SUCCESS") if not folded or r > folded[-1]]
+    folders = [f"all={folded[-1]}"] if folded else []
+    folders += [f"run={r}" for r in runs if before is None or r < before]
+    return spark.read.parquet(*[f"{root}/{f}" for f in folders]) if folders else None
 
+
+def append_run(spark: SparkSession, root: str, run: str, job: Callable[[DataFrame | None], DataFrame]) -> DataFrame:
+    """Run `job` on the rows of the runs before `run` and store its result, the new rows alone, as `run`.
+
+    A run writes its own folder and nothing else, so its cost does not grow with the table, and repeating it gives the
+    same table. A run that does not finish leaves a folder that no reader takes.
+    """
+    folded = _complete(spark, root, "all=", "_SUCCESS")
+    if folded and run <= folded[-1]:
+        raise ValueError(f"run {run} is folded into the table up to {folded[-1]}")
+    fresh = job(read_runs(spark, root, before=run))
+    _write_run(fresh, f"{root}/run={run}")
+    return read_runs(spark, root)
+
+
+def _write_run(df: DataFrame, path: str, **options: str) -> None:
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").options(**options).parquet(path)
+
+
+def compact_runs(spark: SparkSession, root: str, upto: str) -> None:
+    """Fold the runs up to `upto` into one folder of even files. Readers take the folder once it is complete and the
+    single runs until then, so a compaction that dies changes nothing. Addresses get Parquet's Bloom filters there:
+    looking one up reads the row groups that may hold it. (Small runs go without, the filters would outweigh them.)"""
+    rows = read_runs(spark, root, before=upto + "\0")
+    if rows is None:
+        return
+    bloom = {"parquet.bloom.filter.enabled#address": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+    _write_run(rows.hint("rebalance"), f"{root}/all={upto}", **(bloom if "address" in rows.columns else {}))
+    old = [f"run={r}" for r in _complete(spark, root, "run=", "_SUCCESS") if r <= upto]
+    old += [f"all={r}" for r in _complete(spark, root, "all=", "_SUCCESS") if r < upto]
+    for folder in old:
+        _delete(spark, f"{root}/{folder}")
+
+
+# --- tables changed by bucket: a run rewrites the buckets whose rows it changes ----------------------
+
+_WHOLE = "_COMPLETE"
+
+
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def _bucket_folders(spark: SparkSession, root: str, before: str | None) -> dict[int, str]:
+    """The newest folder of each bucket, of the versions before `before`."""
+    out: dict[int, str] = {}
+    for version in _complete(spark, root, "v=", _WHOLE):
+        if before is None or version < before:
+            for name in _children(spark, f"{root}/v={version}"):
+                if name.startswith("b="):
+                    out[int(name[2:])] = f"{root}/v={version}/{name}"
+    return out
+
+
+def read_buckets(
+    spark: SparkSession, root: str, schema: str, before: str | None = None, only: Sequence[int] | None = None
+) -> DataFrame:
+    """The table as of the newest version (before `before`), or those of its buckets that are listed."""
+    folders = _bucket_folders(spark, root, before)
+    chosen = [f for b, f in sorted(folders.items()) if only is None or b in set(only)]
+    return spark.read.schema(schema).parquet(*chosen) if chosen else spark.createDataFrame([], schema)
+
+
+def write_buckets(df: DataFrame, root: str, version: str, key: str, buckets: int, touched: Sequence[int]) -> None:
+    """Store the rows of the `touched` buckets as `version`; the others stay in the version that wrote them last.
+
+    A touched bucket may be empty now. Readers see a version once all its buckets are there.
+    """
+    spark, path = df.sparkSession, f"{root}/v={version}"
+    laid_out = df.withColumn("b", bucket_of(key, buckets)).hint("rebalance", "b").sortWithinPartitions("b", key)
+    laid_out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("b").parquet(path)
+    made = {n for n in _children(spark, path) if n.startswith("b=")}
+    if extra := made - {f"b={b}" for b in touched}:
+        _delete(spark, path)
+        raise ValueError(f"rows outside the buckets of this run: {', '.join(sorted(extra)[:5])}")
+    for b in touched:
+        _make(spark, f"{path}/b={b}")
+    _mark(spark, f"{path}/{_WHOLE}")
+
+
+def touched_buckets(keys: DataFrame, key: str, buckets: int) -> list[int]:
+    """The buckets that hold the rows of `keys`: at most `buckets` numbers."""
+    return sorted(r[0] for r in keys.select(bucket_of(key, buckets).alias("b")).distinct().collect())
+
+
+def prune_buckets(spark: SparkSession, root: str, before: str) -> None:
+    """Delete bucket folders that no version from `before` on reads; versions older than that can no longer be read."""
+    needed = set(_bucket_folders(spark, root, before).values())
+    for version in [v for v in _complete(spark, root, "v=", _WHOLE) if v < before]:
+        for name in _children(spark, f"{root}/v={version}"):
+            if name.startswith("b=") and f"{root}/v={version}/{name}" not in needed:
+                _delete(spark, f"{root}/v={version}/{name}")

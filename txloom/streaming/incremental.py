@@ -6,13 +6,20 @@ lost half-way leaves no complete version and is simply repeated. The day's rows
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
 from txloom.operators import account_activity, coinjoin, fast_tx, inactivity, spending
 from txloom.schemas import LAST_ACTIVITY
-from txloom.sources.sinks import read_snapshot, update_snapshot, write_snapshot
+from txloom.sources.sinks import append_run, read_buckets, read_runs, reload, touched_buckets, update_snapshot, write_buckets
+
+
+STATE_BUCKETS = 64
+_ACTIVE = "address string, first_activate_timestamp timestamp, latest_activate_timestamp timestamp"
+_INACTIVE = "address string, latest_activate_timestamp timestamp, create_time timestamp"
+_PERIODIC = "address string, create_time timestamp"
 
 
 def run_inactivity(
@@ -21,26 +28,49 @@ def run_inactivity(
     activity: DataFrame,
     now: datetime,
     horizon: inactivity.Horizon = inactivity.UTXO_HORIZON,
+    buckets: int = STATE_BUCKETS,
 ) -> inactivity.InactivityTables:
-    """One run of the inactivity tables under `root`: state, inactive, periodic."""
+    """One run of the inactivity tables under `root`: state, inactive, periodic.
+
+    State and inactive addresses lie in buckets of the address. A run reads and rewrites the buckets of the addresses
+    in its batch; the others stay as an earlier run wrote them. What is too old to matter is passed over by every read
+    and leaves the disk when its bucket is next rewritten: a row that is too old stays so. Inactive addresses are
+    rewritten only in buckets where one is added or returns. Periodic ones are appended. The tables are versions of
+    `now`, each made from the versions before, so a repeated run gives the same tables.
+    """
     version = now.strftime("%Y%m%dT%H%M%S")
-    empty = {
-        "state": LAST_ACTIVITY,
-        "inactive": "address string, latest_activate_timestamp timestamp, create_time timestamp",
-        "periodic": "address string, create_time timestamp",
-    }
-
-    def stored(name: str) -> DataFrame:
-        found = read_snapshot(spark, f"{root}/{name}", before=version)
-        return spark.createDataFrame([], empty[name]) if found is None else found
-
-    tables = inactivity.InactivityTables(stored("state"), stored("inactive"), stored("periodic"))
-    after = inactivity.inactivity_step(tables, activity, now, horizon)
-    write_snapshot(after.inactive, f"{root}/inactive", version)
-    write_snapshot(after.periodic, f"{root}/periodic", version)
-    write_snapshot(after.state, f"{root}/state", version)
-    read = lambda name: spark.read.parquet(f"{root}/{name}/v={version}")
-    return inactivity.InactivityTables(read("state"), read("inactive"), read("periodic"))
+    state_root, quiet_root, periodic_root = f"{root}/state", f"{root}/inactive", f"{root}/periodic"
+
+    def current(only: Sequence[int] | None = None, before: str | None = version) -> DataFrame:
+        return inactivity.expire_state(read_buckets(spark, state_root, LAST_ACTIVITY, before, only), now, horizon)
+
+    batch = f"{root}/batch/{version}"
+    reload(inactivity.activity_span(activity).select(*[c.split()[0] for c in _ACTIVE.split(", ")]), batch)
+    span = spark.read.schema(_ACTIVE).parquet(batch)
+    touched = touched_buckets(span, "address", buckets)
+    before = current(touched)
+
+    def returning(kept: DataFrame | None) -> DataFrame:
+        return inactivity.returning_addresses(before, span, kept, now, horizon.gap)
+
+    append_run(spark, periodic_root, version, returning)
+
+    quiet = read_buckets(spark, quiet_root, _INACTIVE, version)
+    added = inactivity.inactive_addresses(current(), quiet, now, horizon.inactive)
+    # an address that returns in this batch is neither added nor kept
+    back = quiet.join(span.select("address"), "address", "left_semi")
+    added = added.join(span.select("address"), "address", "left_anti")
+    changed = touched_buckets(added.select("address").unionByName(back.select("address")), "address", buckets)
+    kept = read_buckets(spark, quiet_root, _INACTIVE, version, changed).join(span.select("address"), "address", "left_anti")
+    write_buckets(kept.unionByName(added), quiet_root, version, "address", buckets, changed)
+
+    write_buckets(inactivity.merge_state(before, span, horizon), state_root, version, "address", buckets, touched)
+    periodic = read_runs(spark, periodic_root)
+    return inactivity.InactivityTables(
+        current(before=None),
+        read_buckets(spark, quiet_root, _INACTIVE),
+        spark.createDataFrame([], _PERIODIC) if periodic is None else periodic,
+    )
 
 
 def run_address_totals(
