@@ -246,6 +246,27 @@ def _utxo_edges(pt: str) -> str:
     )
 
 
+#: Transactions with the lines of a seventh of all blocks, so that hundreds of senders meet hundreds of receivers.
+_WIDE = {
+    "wflow": """select concat('w', bn % 7) as hash, address, sum(net) as net, sum(net * price) as usd, min(bn) as bn, min(ts) as ts
+        from flow group by 1, 2""",
+    "wtx": """select hash, min(bn) as bn, min(ts) as ts, sum(-net) filter (net < 0) as sent, sum(net) filter (net > 0) as gained,
+        coalesce(sum(usd) filter (usd > 0), 0) as gained_usd from wflow group by hash""",
+    "wpart": """select t.hash, t.bn, t.ts, s.address as src, r.address as dst, -s.net * r.net / t.sent as v,
+        -s.net * r.net / t.sent * (t.gained_usd / t.gained) as usd
+        from wtx t join wflow s on s.hash = t.hash and s.net < 0 join wflow r on r.hash = t.hash and r.net > 0""",
+}
+
+
+def _wide_edges() -> str:
+    return statement(
+        f"""select src as from_address, dst as to_address, {_edge_columns(2)},
+          arg_min(hash, {_ORDER}) as first_transaction_hash, arg_max(hash, {_ORDER}) as last_transaction_hash,
+          {_md5_pt("src")} as pt from wpart group by src, dst""",
+        _WIDE,
+    )
+
+
 def _token_edges(pt: str) -> str:
     return statement(
         f"""select src as from_address, dst as to_address, '{ZERO}' as token_address, 'eth' as symbol,
@@ -295,6 +316,7 @@ NUMBER_COLUMNS = {
     "transfers_utxo_2": ["transaction_cnt"],
     "sink_second_order": ["transaction_cnt"],
     "transfers_utxo_guard": ["transaction_cnt"],
+    "transfers_utxo_wide": ["transaction_cnt"],
     "transfers_utxo_left_out": ["in_cnts", "out_cnts"],
     "transfers_token_ranked": ["transaction_cnt"],
     "stat_daily_token_value": [*_BLOCKS, "tx_cnt", "in_tx_cnt", "out_tx_cnt"],
@@ -374,6 +396,7 @@ def oracle_sql() -> dict[str, str]:
         "transfers_utxo_2": _utxo_edges("dst"),
         "sink_second_order": _utxo_edges("dst"),
         "transfers_utxo_guard": _utxo_edges("src").replace("< 100 and count(*) filter (net > 0) < 100", "< 3 and count(*) filter (net > 0) < 3"),
+        "transfers_utxo_wide": _wide_edges(),
         "transfers_utxo_left_out": statement("""
             select hash, count(*) filter (net < 0) as in_cnts, count(*) filter (net > 0) as out_cnts,
               round(coalesce(sum(-net) filter (net < 0), 0), 6) as in_total, round(coalesce(sum(net) filter (net > 0), 0), 6) as out_total,

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txloom.functions.columns import ZERO_ADDRESS, hex_bucket, md5_bucket
+from txloom.functions.pairing import SIDE_BLOCK, paired
 from txloom.functions.relations import union_all
 from txloom.operators.token_flow import native_transfers, receipt_status, with_native_price
 
@@ -47,13 +48,18 @@ MEASURES = (
 )
 
 
-def _side_totals(value_flow: DataFrame) -> DataFrame:
-    """Per transaction: how many addresses lose and gain, and how much."""
+def _sides(value_flow: DataFrame) -> DataFrame:
+    """Per transaction: the addresses that lose and that gain, with what, and the totals of both sides.
+
+    One shuffle by hash serves the guard and the pairs. The lines of a transaction are bounded by the block.
+    """
     net, usd = F.col("net_value"), F.col("net_usd_value")
     return value_flow.groupBy("hash").agg(
-        F.count(F.when(net < 0, 1)).alias("in_cnts"),
+        F.min("block_number").alias("block_number"),
+        F.min("block_timestamp").alias("block_timestamp"),
+        F.collect_list(F.when(net < 0, F.struct("address", (-net).alias("amount")))).alias("senders"),
+        F.collect_list(F.when(net > 0, F.struct("address", net.alias("amount")))).alias("receivers"),
         F.sum(F.when(net < 0, -net).otherwise(F.lit(0.0))).alias("in_total"),
-        F.count(F.when(net > 0, 1)).alias("out_cnts"),
         F.sum(F.when(net > 0, net).otherwise(F.lit(0.0))).alias("out_total"),
         F.sum(F.when(usd > 0, usd).otherwise(F.lit(0.0))).alias("out_usd_total"),
     )
@@ -62,47 +68,38 @@ def _side_totals(value_flow: DataFrame) -> DataFrame:
 def _within_guard(max_side: int | None) -> Column:
     if max_side is None:
         return F.lit(True)
-    few = (F.col("in_cnts") < max_side) & (F.col("out_cnts") < max_side)
-    return (F.col("in_cnts") == 1) | (F.col("out_cnts") == 1) | few
+    sent, received = F.size("senders"), F.size("receivers")
+    return (sent == 1) | (received == 1) | ((sent < max_side) & (received < max_side))
 
 
 def utxo_transfers_left_out(value_flow: DataFrame, max_side: int = MAX_SIDE) -> DataFrame:
     """The transactions that `utxo_transfers` leaves out: hash, both counts, both totals."""
-    left_out = _side_totals(value_flow).where(~_within_guard(max_side))
-    return left_out.select("hash", "in_cnts", "out_cnts", "in_total", "out_total", "out_usd_total")
+    left_out = _sides(value_flow).where(~_within_guard(max_side))
+    counts = [F.size("senders").cast("long").alias("in_cnts"), F.size("receivers").cast("long").alias("out_cnts")]
+    return left_out.select("hash", *counts, "in_total", "out_total", "out_usd_total")
 
 
 def utxo_transfers(value_flow: DataFrame, max_side: int | None = MAX_SIDE) -> DataFrame:
     """Edges between addresses: each sender's net loss split over the receivers by their net gains.
 
-    A transaction takes part if it has one sender, one receiver, or fewer than `max_side` of each, as
-    published; `utxo_transfers_left_out` lists the others, None leaves out nothing. The guard is applied to
-    per-transaction totals before any pair is made, and totals, senders and receivers are all partitioned by hash.
+    A transaction takes part if it has one sender, one receiver, or fewer than `max_side` of each, as published;
+    `utxo_transfers_left_out` lists the others, None leaves out nothing. A transaction's sides are folded into its row,
+    and pairs are made there; without a guard, or with a wide one, wide transactions are paired block by block in many
+    tasks.
     """
-    net = F.col("net_value")
-    totals = (
-        _side_totals(value_flow)
-        .where(_within_guard(max_side))
-        # a transaction without positive net pairs with nothing, so 0/0 need not fail
-        .select("hash", "in_total", F.try_divide("out_usd_total", "out_total").alias("price"))
-    )
-    senders = value_flow.where(net < 0).select(
-        "hash", "block_number", "block_timestamp", F.col("address").alias("from_address"), (-net).alias("sent")
-    )
-    receivers = value_flow.where(net > 0).select("hash", F.col("address").alias("to_address"), net.alias("received"))
-    value = F.col("sent") * F.col("received") / F.col("in_total")
-    split = (
-        totals.join(senders, "hash")
-        .join(receivers, "hash")
-        .select(
-            "hash",
-            "block_number",
-            "block_timestamp",
-            "from_address",
-            "to_address",
-            value.alias("value"),
-            (value * F.col("price")).alias("usd_value"),
-        )
+    sides = _sides(value_flow).where(_within_guard(max_side) & (F.size("senders") > 0) & (F.size("receivers") > 0))
+    # the guard is strict, so a side has fewer lines than it says
+    wide = max_side is None or max_side > SIDE_BLOCK + 1
+    sent, received = F.col("senders.amount"), F.col("receivers.amount")
+    value = sent * received / F.col("in_total")
+    split = paired(sides, "senders", "receivers", "hash", wide=wide).select(
+        "hash",
+        "block_number",
+        "block_timestamp",
+        F.col("senders.address").alias("from_address"),
+        F.col("receivers.address").alias("to_address"),
+        value.alias("value"),
+        (value * F.try_divide("out_usd_total", "out_total")).alias("usd_value"),
     )
     order = F.struct("block_timestamp", "block_number", "hash")
     return (

@@ -334,6 +334,17 @@ def q_transfers_utxo_guard(spark, sf):
     return _rounded_stats(transfer_graph.utxo_transfers(stored_flow(spark, sf), max_side=SMALL_GUARD), USD)
 
 
+def q_transfers_utxo_wide(spark, sf):
+    """Edges of transactions that hold the lines of a seventh of all blocks, without a guard."""
+    wide = stored_flow(spark, sf).groupBy(F.concat(F.lit("w"), (F.col("block_number") % 7).cast("string")).alias("hash"), "address").agg(
+        F.min("block_number").alias("block_number"),
+        F.min("block_timestamp").alias("block_timestamp"),
+        F.sum("net_value").alias("net_value"),
+        F.sum("net_usd_value").alias("net_usd_value"),
+    )
+    return _rounded_stats(transfer_graph.utxo_transfers(wide, max_side=None), USD)
+
+
 def q_transfers_utxo_left_out(spark, sf):
     return _rounded_stats(transfer_graph.utxo_transfers_left_out(stored_flow(spark, sf), SMALL_GUARD), USD)
 
