@@ -59,6 +59,16 @@ def test_exposure_reads_stored_parts(spark):
     assert plan.count("/utxo_transactions-") <= 4
 
 
+def test_leading_labels_are_limited_while_read(spark):
+    plan = plan_of(entry.queries()["taint_direct_source"](spark, SF))
+    assert plan.count("WindowGroupLimit") >= 1 and plan.count("Window [") == 1
+
+
+def test_account_exposure_is_one_pass(spark):
+    plan = plan_of(entry.queries()["propagated_account"](spark, SF))
+    assert plan.count("FileScan") <= 6 and plan.count("Exchange hashpartitioning") <= 5
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_leading_labelled_addresses_decide(spark, seed):
     """With many labelled addresses per transaction and ties in amount and score, as all pairs would."""

@@ -121,17 +121,14 @@ def _common(folded: DataFrame, labels: DataFrame, count: str, relation: str, idx
 def _leading_refs(refs: DataFrame, keep: int) -> DataFrame:
     """Per (hash, plots), the `keep` addresses with the smallest amounts and with the largest scores.
 
-    `refs` has one row per (hash, plots, ref_address).
+    `refs` has one row per (hash, plots, ref_address). Each row stands in both rankings, which are groups of one
+    window with a plain limit, so Spark keeps `keep` rows of a ranking while it reads it.
     """
-    group = Window.partitionBy("hash", "plots")
-    by_amount = F.row_number().over(group.orderBy("ref_amount", "ref_address"))
-    by_score = F.row_number().over(group.orderBy(F.desc("base_score"), "ref_address"))
-    return (
-        refs.withColumn("_by_amount", by_amount)
-        .withColumn("_by_score", by_score)
-        .where((F.col("_by_amount") <= keep) | (F.col("_by_score") <= keep))
-        .drop("_by_amount", "_by_score")
-    )
+    amount, scored = F.col("_ranking") == 0, F.col("_ranking") == 1
+    order = [F.when(amount, F.col("ref_amount")), F.when(scored, -F.col("base_score")), F.col("ref_address")]
+    rank = F.row_number().over(Window.partitionBy("hash", "plots", "_ranking").orderBy(*order))
+    both = refs.withColumn("_ranking", F.explode(F.array(F.lit(0), F.lit(1))))
+    return both.withColumn("_rank", rank).where(F.col("_rank") <= keep).drop("_rank", "_ranking").distinct()
 
 
 def _exposure_score(pairs: DataFrame, totals: DataFrame, relation: str, idx: int) -> DataFrame:
@@ -358,18 +355,29 @@ def account_exposure(transfers: DataFrame, curated: DataFrame) -> DataFrame:
 
     `transfers` are successful transfers (from_address, to_address, usd_value). The total in the
     ratio is damped by a million USD.
-    """
-    labels = curated.select("address", "plots").distinct()
-
-    def share(owner: str, other: str, idx: int) -> DataFrame:
-        totals = transfers.groupBy(F.col(owner).alias("address")).agg(F.sum("usd_value").alias("total"))
-        marked = (
-            transfers.select(F.col(owner).alias("owner"), F.col(other).alias("address"), "usd_value")
-            .join(labels, "address")
-            .groupBy(F.col("owner").alias("address"), "plots")
-            .agg(F.sum("usd_value").alias("usd"))
-        )
-        weight = F.col("usd") / (F.col("total") + 1e6)
-        return marked.join(totals, "address").select("address", "plots", F.lit(idx).alias("idx"), weight.alias("sub_weight"))
 
-    return union_all([share("to_address", "from_address", 4), share("from_address", "to_address", 3)])
+    One pass serves both directions: each transfer is a line of its receiver and a line of its sender. A line counts
+    once without a label, for the total, and once for every label of the other end. Sums per (address, idx, label)
+    combine before the shuffle, and only these sums meet their total.
+    """
+    labels = curated.where(F.col("plots").isNotNull()).groupBy("address").agg(F.collect_set("plots").alias("plots"))
+    ends = F.array(
+        F.struct(F.col("to_address").alias("owner"), F.col("from_address").alias("address"), F.lit(4).alias("idx")),
+        F.struct(F.col("from_address").alias("owner"), F.col("to_address").alias("address"), F.lit(3).alias("idx")),
+    )
+    none = F.array(F.lit(None).cast("string"))
+    lines = transfers.select("usd_value", F.inline(ends)).join(labels, "address", "left")
+    sums = (
+        lines.where(F.col("owner").isNotNull())
+        .select("owner", "idx", "usd_value", F.explode(F.concat(none, F.coalesce("plots", F.array().cast("array<string>")))).alias("plots"))
+        .groupBy("owner", "idx", "plots")
+        .agg(F.sum("usd_value").alias("usd"))
+    )
+    shares = sums.groupBy("owner", "idx").agg(
+        F.sum(F.when(F.col("plots").isNull(), F.col("usd"))).alias("total"),
+        F.collect_list(F.when(F.col("plots").isNotNull(), F.struct("plots", "usd"))).alias("labelled"),
+    )
+    weight = F.col("usd") / (F.col("total") + 1e6)
+    return shares.select("owner", "idx", "total", F.inline("labelled")).select(
+        F.col("owner").alias("address"), "plots", "idx", weight.alias("sub_weight")
+    )
