@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from txloom.functions import ZERO_ADDRESS
 from txloom.plans import daily
 from txloom.schemas import DAY_PRICE, PROTOCOL_EVENTS, RISK_WEIGHTS, TOKEN_PRICE, TOKEN_TRANSFERS, TRACES
+from txloom.sources import sinks
 
 NOW = datetime(2021, 8, 5)
 
@@ -39,7 +40,7 @@ def test_utxo_run_by_day_equals_one_run(spark, tmp_path):
     every = rows(read("once", "stat_daily"), "address", "block_date", "tx_cnt")
     assert rows(read("days", "stat_daily"), "address", "block_date", "tx_cnt") == every
     assert {str(r[1])[:4] for r in every} == {"2015", "2021"}
-    tags = read("days", "large_value/v=2021-08-03")
+    tags = sinks.read_runs(spark, f"{tmp_path}/days/large_value")
     assert tags.count() == tags.distinct().count() > 0
 
     daily.utxo_graph(read("once", "value_flow"), f"{tmp_path}/once")

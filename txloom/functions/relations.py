@@ -32,6 +32,11 @@ def accumulate(fresh: DataFrame, stored: DataFrame | None) -> DataFrame:
     return fresh.distinct() if stored is None else union_distinct(fresh, stored.select(*fresh.columns))
 
 
+def new_rows(fresh: DataFrame, stored: DataFrame | None) -> DataFrame:
+    """Distinct rows of `fresh` that are not in `stored`: what a table that is a set grows by."""
+    return fresh.distinct() if stored is None else fresh.subtract(stored.select(*fresh.columns))
+
+
 def tag_rows(
     df: DataFrame, feature: Column | str, plots: Column | str, idx: Column | int, name: Column | None = None
 ) -> DataFrame:

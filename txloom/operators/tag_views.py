@@ -43,6 +43,26 @@ def category_tags(spec: CategorySpec, tables: Mapping[str, DataFrame]) -> DataFr
     return tag_rows(addresses, spec.feature, spec.plots, spec.idx)
 
 
+def categories_of(users: DataFrame) -> DataFrame:
+    """The tags of all categories from one table of protocol users (table, address), read once."""
+    by_source: dict[str, list[CategorySpec]] = {}
+    for spec in CATEGORIES.values():
+        for source in spec.sources:
+            by_source.setdefault(source, []).append(spec)
+    tags = F.create_map(
+        *[
+            part
+            for source, specs in by_source.items()
+            for part in (
+                F.lit(source),
+                F.array(*[F.struct(F.lit(s.feature).alias("feature"), F.lit(s.plots).alias("plots"), F.lit(s.idx).alias("idx")) for s in specs]),
+            )
+        ]
+    )
+    tagged = users.select("address", F.inline(F.try_element_at(tags, F.col("table"))))
+    return tag_rows(tagged, F.col("feature"), F.col("plots"), F.col("idx"))
+
+
 def others_tags(deployers: DataFrame, eth2_depositors: DataFrame, nft: DataFrame) -> DataFrame:
     """Category P801: contract deployers, stakers, and the stored rows of non-fungible token users."""
     return union_distinct(
@@ -113,14 +133,18 @@ def account_union_tags(
     inactive: DataFrame,
     periodic: DataFrame,
     others: DataFrame,
-    categories: Mapping[str, DataFrame],
+    categories: Mapping[str, DataFrame] | DataFrame,
 ) -> DataFrame:
-    """Behaviour, P801 and category tags of the account chain under common codes."""
+    """Behaviour, P801 and category tags of the account chain under common codes.
+
+    `categories` are the category tables by name, or the rows of all of them (`categories_of`).
+    """
+    by_category = [categories] if isinstance(categories, DataFrame) else [categories[name] for name in CATEGORIES]
     return union_all(
         [
             *_behaviour_tags(fast_tx, high_fee, {11: 10, 10: 11}, inactive, periodic, keep_name=False),
             tag_rows(large_value, F.col("feature"), F.col("plots"), F.col("idx")),
             others.select(*TAG_COLUMNS),
-            *[categories[name].select(*TAG_COLUMNS) for name in CATEGORIES],
+            *[tags.select(*TAG_COLUMNS) for tags in by_category],
         ]
     ).distinct()

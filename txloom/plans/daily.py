@@ -51,20 +51,9 @@ def utxo_facts(tables: Tables, out: str, run_date: date | None = None) -> None:
     flow = spark.read.parquet(f"{out}/value_flow")
     stats = daily_stats.utxo_stat_daily(flow, run_date)
     sinks.reload_partitions(stats, f"{out}/stat_daily", "block_date", ["addr_pt", "address"], [day] if run_date else None)
-    version = run_date.isoformat() if run_date else "all"
-    sinks.update_snapshot(
-        spark,
-        f"{out}/large_value",
-        version,
-        lambda kept: _with_stored(large_value.utxo_large_value(flow, run_date, kept), kept),
-    )
-    sinks.update_snapshot(
-        spark, f"{out}/block_fee", version, lambda kept: _with_stored(fees.block_fee_moving_avg(tx, run_date, kept), kept)
-    )
-
-
-def _with_stored(fresh: DataFrame, stored: DataFrame | None) -> DataFrame:
-    return fresh if stored is None else stored.unionByName(fresh)
+    run = run_date.isoformat() if run_date else "0000-00-00"
+    sinks.append_run(spark, f"{out}/large_value", run, lambda kept: large_value.utxo_large_value(flow, run_date, kept))
+    sinks.append_run(spark, f"{out}/block_fee", run, lambda kept: fees.block_fee_moving_avg(tx, run_date, kept))
 
 
 def utxo_graph(flow: DataFrame, out: str, table: str = "utxo_transfers") -> None:
@@ -144,12 +133,9 @@ def account_risk(tables: Tables, union_tags: DataFrame, out: str, now: datetime)
 def protocol_tables(tables: Tables, out: str, run_date: date | None = None) -> DataFrame:
     """User tables of all specs in one pass, new addresses only, appended to the stored ones."""
     tx, events = tables["account_transactions"], tables["protocol_events"]
-    version = run_date.isoformat() if run_date else "all"
-    return sinks.update_snapshot(
+    return sinks.append_run(
         tx.sparkSession,
         f"{out}/protocol_users",
-        version,
-        lambda kept: _with_stored(
-            protocols.protocol_user_tables(tx, events, protocols.PROTOCOLS, run_date, kept), kept
-        ),
+        run_date.isoformat() if run_date else "0000-00-00",
+        lambda kept: protocols.protocol_user_tables(tx, events, protocols.PROTOCOLS, run_date, kept),
     )

@@ -291,16 +291,21 @@ def q_taint_all(spark, sf):
     return rounded(_taint(spark, sf), sub_weight=WEIGHT)
 
 
+def tag_table(spark: SparkSession, sf: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A tag table, stored once as its daily job leaves it; the views read it."""
+    return staged(spark, src._key(spark, sf, f"tag_{name}"), build)
+
+
 def utxo_tags(spark: SparkSession, sf: str) -> DataFrame:
-    tables = _utxo_inactivity(spark, sf)
     tx = src.utxo_transactions(spark, sf)
+    flow = stored_flow(spark, sf)
     return tag_views.utxo_union_tags(
-        _fast_utxo(spark, sf),
-        _high_fee_utxo(spark, sf),
-        large_value.utxo_large_value(stored_flow(spark, sf)),
-        coinjoin.mimo_addresses(tx),
-        tables.inactive,
-        tables.periodic,
+        tag_table(spark, sf, "utxo_fast_tx", lambda: _fast_utxo(spark, sf)),
+        tag_table(spark, sf, "utxo_high_fee", lambda: _high_fee_utxo(spark, sf)),
+        tag_table(spark, sf, "utxo_large_value", lambda: large_value.utxo_large_value(flow)),
+        tag_table(spark, sf, "utxo_mimo", lambda: coinjoin.mimo_addresses(tx)),
+        tag_table(spark, sf, "utxo_inactive", lambda: _utxo_inactivity(spark, sf).inactive),
+        tag_table(spark, sf, "utxo_periodic", lambda: _utxo_inactivity(spark, sf).periodic),
     )
 
 
@@ -567,14 +572,13 @@ def category(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return tag_views.category_tags(spec, user_tables(spark, sf, spec.sources))
 
 
-def stored_user_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """All user tables the categories read, stored once as the daily jobs leave them."""
+def protocol_users(spark: SparkSession, sf: str) -> DataFrame:
+    """table, address of all user tables the categories read, stored once as the daily jobs leave them."""
     names = sorted({s for spec in tag_views.CATEGORIES.values() for s in spec.sources})
     build = lambda: union_all(
         [df.select("address", F.lit(n).alias("table")) for n, df in user_tables(spark, sf, names).items()]
     )
-    found = staged(spark, src._key(spark, sf, "protocol_users"), build)
-    return {n: found.where(F.col("table") == n) for n in names}
+    return staged(spark, src._key(spark, sf, "protocol_users"), build)
 
 
 def q_protocol_all_specs(spark, sf):
@@ -593,16 +597,20 @@ def others(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def account_tags(spark: SparkSession, sf: str) -> DataFrame:
-    tables = _account_inactivity(spark, sf)
-    users = stored_user_tables(spark, sf)
+    tx = src.account_transactions(spark, sf)
+    stored = lambda name, build: tag_table(spark, sf, f"account_{name}", build)
     return tag_views.account_union_tags(
-        _fast_account(spark, sf),
-        _high_fee_account(spark, sf),
-        large_value.account_large_value(_priced(spark, sf)),
-        tables.inactive,
-        tables.periodic,
-        others(spark, sf),
-        {name: tag_views.category_tags(spec, users) for name, spec in tag_views.CATEGORIES.items()},
+        stored("fast_tx", lambda: _fast_account(spark, sf)),
+        stored("high_fee", lambda: _high_fee_account(spark, sf)),
+        stored("large_value", lambda: large_value.account_large_value(_priced(spark, sf))),
+        stored("inactive", lambda: _account_inactivity(spark, sf).inactive),
+        stored("periodic", lambda: _account_inactivity(spark, sf).periodic),
+        tag_views.others_tags(
+            stored("contract_deployers", lambda: activity.contract_deployers(tx)),
+            stored("eth2_depositors", lambda: protocol_table(spark, sf, "eth2_depositor")),
+            stored("nft_users", lambda: _nft(spark, sf)),
+        ),
+        tag_views.categories_of(protocol_users(spark, sf)),
     )
 
 

@@ -29,16 +29,17 @@ def run_inactivity(
     now: datetime,
     horizon: inactivity.Horizon = inactivity.UTXO_HORIZON,
     buckets: int = STATE_BUCKETS,
+    version: str | None = None,
 ) -> inactivity.InactivityTables:
     """One run of the inactivity tables under `root`: state, inactive, periodic.
 
     State and inactive addresses lie in buckets of the address. A run reads and rewrites the buckets of the addresses
     in its batch; the others stay as an earlier run wrote them. What is too old to matter is passed over by every read
     and leaves the disk when its bucket is next rewritten: a row that is too old stays so. Inactive addresses are
-    rewritten only in buckets where one is added or returns. Periodic ones are appended. The tables are versions of
-    `now`, each made from the versions before, so a repeated run gives the same tables.
+    rewritten only in buckets where one is added or returns. Periodic ones are appended. Each `version` of the tables
+    (by default the time `now`) is made from the versions before it, so a repeated run gives the same tables.
     """
-    version = now.strftime("%Y%m%dT%H%M%S")
+    version = version or now.strftime("%Y%m%dT%H%M%S")
     state_root, quiet_root, periodic_root = f"{root}/state", f"{root}/inactive", f"{root}/periodic"
 
     def current(only: Sequence[int] | None = None, before: str | None = version) -> DataFrame:
@@ -65,10 +66,16 @@ def run_inactivity(
     write_buckets(kept.unionByName(added), quiet_root, version, "address", buckets, changed)
 
     write_buckets(inactivity.merge_state(before, span, horizon), state_root, version, "address", buckets, touched)
-    periodic = read_runs(spark, periodic_root)
+    after = stored_inactivity(spark, root)
+    return inactivity.InactivityTables(current(before=None), after.inactive, after.periodic)
+
+
+def stored_inactivity(spark: SparkSession, root: str) -> inactivity.InactivityTables:
+    """The inactivity tables as the last run left them; rows of the state that are too old may still be there."""
+    periodic = read_runs(spark, f"{root}/periodic")
     return inactivity.InactivityTables(
-        current(before=None),
-        read_buckets(spark, quiet_root, _INACTIVE),
+        read_buckets(spark, f"{root}/state", LAST_ACTIVITY),
+        read_buckets(spark, f"{root}/inactive", _INACTIVE),
         spark.createDataFrame([], _PERIODIC) if periodic is None else periodic,
     )
 
