@@ -17,11 +17,11 @@ or earlier in the same one. Overlapping ones are joined to spans. The first occu
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,7 +34,9 @@ CORE = 20
 FILTER_BITS = 1 << 25
 
 _BASE = 0x9E3779B97F4A7C15
-ANCHORS = "core long, doc_id long, at long, left long, right long, before int, after int"
+ANCHORS = "core long, doc_id long, digest long, at long, left long, right long, before int, after int"
+#: Spark's seed of xxhash64.
+_SEED = 42
 
 
 class _Windows:
@@ -60,9 +62,9 @@ class _Windows:
         return mix64(out)
 
 
-def _place(digest: int, word: np.ndarray) -> np.ndarray:
-    """A word of a text: the text's CRC-32, then the number of the word."""
-    return (np.int64(digest - (1 << 31)) << np.int64(32)) | word.astype(np.int64)
+def text_digest(text: str) -> int:
+    """The name of a text beside its id: xxHash64, as Spark's function has it."""
+    return int(np.uint64(xxhash.xxh64_intdigest(text.encode(), _SEED)).view(np.int64))
 
 
 def minimisers(core: np.ndarray, width: int) -> np.ndarray:
@@ -104,9 +106,9 @@ def _bits(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 def _filter(hashes: DataFrame) -> np.ndarray:
     """A bit for each low end of the column h."""
     words = hashes.groupBy(F.expr(f"shiftright(h & {FILTER_BITS - 1}, 6)").alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(h & 63 AS int)))").alias("bits"))
-    found = words.toPandas()  # at most FILTER_BITS / 64 rows
+    found = words.toArrow()  # at most FILTER_BITS / 64 rows
     out = np.zeros(FILTER_BITS // 64, np.int64)
-    out[found["at"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+    out[found["at"].to_numpy()] = found["bits"].to_numpy()
     return out
 
 
@@ -118,25 +120,20 @@ def _signature_of(core: str, left: str, right: str) -> Column:
     return F.col(core).bitwiseXOR(F.col(left)).bitwiseXOR(F.shiftleft(right, 1))
 
 
-def _place_hash(doc_id: int | None, at: np.ndarray) -> np.ndarray:
-    """The upper half of a place is a checksum, so its bits are even already."""
-    return (at ^ (at >> np.int64(32)) ^ np.int64(doc_id or 0)).view(np.uint64)
+def _place_hash(doc_id: int | None, digest: int, at: np.ndarray) -> np.ndarray:
+    """Of a word of a text (0: of the text). The digest's bits are even already."""
+    return (np.int64(digest ^ (doc_id or 0)) ^ at.astype(np.int64)).view(np.uint64)
 
 
-def _start_of(at: str) -> Column:
-    """The place of the first word of the text."""
-    return F.col(at).bitwiseAND(F.lit(-(1 << 32)))
-
-
-def _place_hash_of(doc_id: str, at: str | Column) -> Column:
-    at = F.col(at) if isinstance(at, str) else at
-    return at.bitwiseXOR(F.shiftright(at, 32)).bitwiseXOR(F.coalesce(F.col(doc_id), F.lit(0)))
+def _place_hash_of(doc_id: str, digest: str, at: Column | None = None) -> Column:
+    document = F.col(digest).bitwiseXOR(F.coalesce(F.col(doc_id), F.lit(0)))
+    return document if at is None else document.bitwiseXOR(at.cast("long"))
 
 
 def repeated_spans(
     docs: DataFrame, min_words: int = MIN_WORDS, core_words: int = CORE, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """doc_id, digest (CRC-32 of the text), start_word, end_word (after the last), first_doc_id: a row a span.
+    """doc_id, digest (xxHash64 of the text), start_word, end_word (after the last), first_doc_id: a row a span.
 
     Words are runs of bytes other than space, \\t \\n \\v \\f \\r. Null, empty and short texts have no spans. Rows
     with the same id and text are one document: they repeat others but not each other. A null id is smaller
@@ -160,49 +157,50 @@ def _spans(docs: DataFrame, min_words: int, core_words: int, id_column: str, tex
             for doc_id, text in zip(batch.column("doc_id"), batch.column("text").to_pylist(), strict=True):
                 s = _suffixes(text, hashes, min_words, core_words)
                 if s is not None:
-                    out.append([signed(s["core"]), _place(zlib.crc32(text.encode()), s["at"]), signed(s["left"]), signed(s["right"]), s["before"].astype(np.int32), s["after"].astype(np.int32)])
+                    out.append([signed(s["core"]), np.full(len(s["at"]), text_digest(text), np.int64), s["at"], signed(s["left"]), signed(s["right"]), s["before"].astype(np.int32), s["after"].astype(np.int32)])
                     owners.append(pa.repeat(doc_id, len(s["at"])))
             if out:
-                core, at, left, right, before, after = (pa.array(np.concatenate(c)) for c in zip(*out, strict=True))
-                yield pa.RecordBatch.from_arrays([core, pa.concat_arrays(owners), at, left, right, before, after], [x.split()[0] for x in ANCHORS.split(", ")])
+                core, digest, at, left, right, before, after = (pa.array(np.concatenate(c)) for c in zip(*out, strict=True))
+                yield pa.RecordBatch.from_arrays([core, pa.concat_arrays(owners), digest, at, left, right, before, after], [x.split()[0] for x in ANCHORS.split(", ")])
 
     suffixes = stored(narrow.mapInArrow(anchors, ANCHORS), "suffixes")
-    place = F.struct("doc_id", "at")
-    runs = suffixes.groupBy("core").agg(F.min(F.struct("doc_id", "at", "left", "right")).alias("first"), F.max(place).alias("last"))
-    runs = runs.where(~F.struct("first.doc_id", "first.at").eqNullSafe(F.struct("last.doc_id", "last.at"))).drop("last")
+    place = F.struct("doc_id", "digest", "at")
+    runs = suffixes.groupBy("core").agg(F.min(F.struct("doc_id", "digest", "at", "left", "right")).alias("first"), F.max(place).alias("last"))
+    runs = runs.where(~F.struct("first.doc_id", "first.digest", "first.at").eqNullSafe(F.struct("last.doc_id", "last.digest", "last.at"))).drop("last")
     same = lambda *names: _all(F.col(n).eqNullSafe(F.col(f"first.{n}")) for n in names)
     matched = stored(
         suffixes.join(runs, "core").select(
-            "core", "doc_id", "at", "left", "right", "before", "after", F.col("first.doc_id").alias("first_doc_id"), F.col("first.at").alias("first_at"),
-            same("doc_id", "at").alias("is_first"), same("left", "right").alias("extends"),
+            "core", "doc_id", "digest", "at", "left", "right", "before", "after",
+            F.col("first.doc_id").alias("first_doc_id"), F.col("first.digest").alias("first_digest"), F.col("first.at").alias("first_at"),
+            same("doc_id", "digest", "at").alias("is_first"), same("left", "right").alias("extends"),
         ),
         "suffix-runs",
     )
 
     extended = matched.where("extends AND NOT is_first").select(
-        "doc_id", "at", (F.col("at") - F.col("before")).alias("start"), (F.col("at") + core_words + F.col("after")).alias("end"), "first_doc_id"
+        "doc_id", "digest", (F.col("at") - F.col("before")).alias("start"), (F.col("at") + core_words + F.col("after")).alias("end"), "first_doc_id"
     ).where(F.col("end") - F.col("start") >= min_words)
 
     # suffixes that differ from the first of their run, and these first ones, by passages
     differing = matched.where("NOT extends")
-    documents = differing.select(_place_hash_of("doc_id", _start_of("at")).alias("h")).union(differing.select(_place_hash_of("first_doc_id", _start_of("first_at"))))
+    documents = differing.select(_place_hash_of("doc_id", "digest").alias("h")).union(differing.select(_place_hash_of("first_doc_id", "first_digest")))
     signatures = differing.select(_signature_of("core", "left", "right").alias("h"))
-    firsts = differing.select(_place_hash_of("first_doc_id", "first_at").alias("h"))
+    firsts = differing.select(_place_hash_of("first_doc_id", "first_digest", F.col("first_at")).alias("h"))
     tables = spark.sparkContext.broadcast((_filter(documents), _filter(signatures), _filter(firsts)))  # at most FILTER_BITS bits each
 
     def passages(batches: Iterable) -> Iterator[pa.RecordBatch]:
         hashes, (by_document, by_signature, by_place) = WordHashes(), tables.value
         back = np.arange(min_words - core_words + 1)
         for batch in batches:
-            found, places, owners = [], [], []
+            found, digests, places, owners = [], [], [], []
             for doc_id, text in zip(batch.column("doc_id"), batch.column("text").to_pylist(), strict=True):
-                digest = zlib.crc32(text.encode())
-                if not _bits(by_document, _place_hash(doc_id.as_py(), _place(digest, np.zeros(1, np.int64))))[0]:
+                digest = text_digest(text)
+                if not _bits(by_document, _place_hash(doc_id.as_py(), digest, np.zeros(1, np.int64)))[0]:
                     continue  # none of its suffixes differs from the first of its run, nor is such a first
                 s = _suffixes(text, hashes, min_words, core_words)
                 if s is None:
                     continue
-                wanted = _bits(by_signature, _signature(s["core"], s["left"], s["right"])) | _bits(by_place, _place_hash(doc_id.as_py(), _place(digest, s["at"])))
+                wanted = _bits(by_signature, _signature(s["core"], s["left"], s["right"])) | _bits(by_place, _place_hash(doc_id.as_py(), digest, s["at"]))
                 starts = np.unique(s["at"][wanted][:, None] - back[None, :])
                 if not len(starts):
                     continue
@@ -210,17 +208,21 @@ def _spans(docs: DataFrame, min_words: int, core_words: int, id_column: str, tex
                 starts = starts[(starts >= 0) & (starts < len(every))]
                 if len(starts):
                     found.append(signed(every[starts]))
-                    places.append(_place(digest, starts))
+                    digests.append(np.full(len(starts), digest, np.int64))
+                    places.append(starts.astype(np.int64))
                     owners.append(pa.repeat(doc_id, len(starts)))
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.concat_arrays(owners), pa.array(np.concatenate(places))], ["passage", "doc_id", "at"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(found)), pa.concat_arrays(owners), pa.array(np.concatenate(digests)), pa.array(np.concatenate(places))],
+                    ["passage", "doc_id", "digest", "at"],
+                )
 
-    single = stored(narrow.mapInArrow(passages, "passage long, doc_id long, at long"), "passages")
+    single = stored(narrow.mapInArrow(passages, "passage long, doc_id long, digest long, at long"), "passages")
     first = single.groupBy("passage").agg(F.min(place).alias("first"), F.max(place).alias("last")).where(~F.col("first").eqNullSafe(F.col("last")))
     looked_up = (
         single.join(first.select("passage", "first"), "passage")
-        .where(~same("doc_id", "at"))
-        .select("doc_id", "at", F.col("at").alias("start"), (F.col("at") + min_words).alias("end"), F.col("first.doc_id").alias("first_doc_id"))
+        .where(~same("doc_id", "digest", "at"))
+        .select("doc_id", "digest", F.col("at").alias("start"), (F.col("at") + min_words).alias("end"), F.col("first.doc_id").alias("first_doc_id"))
     )
     return stored(_joined(extended.unionByName(looked_up)), "spans"), [suffixes, matched, single]
 
@@ -234,9 +236,7 @@ def _all(conditions: Iterable[Column]) -> Column:
 
 def _joined(parts: DataFrame) -> DataFrame:
     """Overlapping or touching spans of a text joined."""
-    digest = F.shiftright("at", 32) + F.lit(1 << 31)
-    word = lambda c: F.col(c).bitwiseAND(F.lit((1 << 32) - 1))
-    plain = parts.select("doc_id", digest.alias("digest"), word("start").alias("start"), word("end").alias("end"), "first_doc_id").distinct()
+    plain = parts.select("doc_id", "digest", "start", "end", "first_doc_id").distinct()
     own = Window.partitionBy("doc_id", "digest").orderBy("start", "end", "first_doc_id")
     apart = F.coalesce((F.col("start") > F.max("end").over(own.rowsBetween(Window.unboundedPreceding, -1))).cast("int"), F.lit(0))
     numbered = plain.withColumn("apart", apart).withColumn("span", F.sum("apart").over(own))
@@ -270,6 +270,6 @@ def without_repeats(docs: DataFrame, spans: DataFrame, id_column: str = "doc_id"
     def shortened(text: str | None, found: list | None) -> str | None:
         return text if not found else cut(text, [(x["start_word"], x["end_word"]) for x in found])
 
-    key = F.struct(F.col(id_column).cast("long").alias("doc_id"), F.crc32(F.coalesce(F.col(text_column), F.lit("")).cast("binary")).alias("digest"))
+    key = F.struct(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))).alias("digest"))
     joined = docs.withColumn("_llm_key", key).join(lists, "_llm_key", "left")
     return joined.withColumn(text_column, shortened(F.col(text_column), F.col("_llm_spans"))).select(*[F.col(f"`{c}`") for c in docs.columns])
