@@ -65,7 +65,8 @@ def _node(s: np.ndarray) -> int | None:
 
 
 def _text_hash(text: str) -> int:
-    return xxhash.xxh64_intdigest(text.encode()) - (1 << 63)
+    """xxHash64, as Spark's function has it."""
+    return int(np.uint64(xxhash.xxh64_intdigest(text.encode(), 42)).view(np.int64))
 
 
 def _difference(s: int, t: int, percent: int) -> int:
@@ -193,9 +194,9 @@ def _candidate_sets(docs: DataFrame, described: DataFrame, live: DataFrame, widt
     wanted = described.join(ends, "node", "left_semi").select(F.col("text_hash").alias("h"))
     # a bit for the low end of each hash
     words = wanted.groupBy(F.expr(f"shiftright(h & {FILTER_BITS - 1}, 6)").alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(h & 63 AS int)))").alias("bits"))
-    found = words.toPandas()  # at most FILTER_BITS / 64 rows
+    found = words.toArrow()  # at most FILTER_BITS / 64 rows
     bits = np.zeros(FILTER_BITS // 64, np.int64)
-    bits[found["at"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+    bits[found["at"].to_numpy()] = found["bits"].to_numpy()
     shared = spark.sparkContext.broadcast(bits)
 
     def candidates(batches: Iterable) -> Iterator[pa.RecordBatch]:
@@ -304,7 +305,8 @@ def _rest(live: DataFrame, members: DataFrame, nodes: DataFrame, percent: int) -
 def jaccard_components(
     docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """A row for each row of `docs`: doc_id, n_shingles, node (a name of its set), component_id.
+    """A row for each row of `docs`: doc_id, text_hash (xxHash64 of its text), n_shingles, node (a name of its set),
+    class (a name of its component), component_id.
 
     component_id is the smallest doc_id that links reach. Rows with equal sets are linked; a text without
     words (null, empty, blank) has the empty set and links with nothing: its component_id is its doc_id.
@@ -331,10 +333,10 @@ def _classes(narrow: DataFrame, percent: int, width: int) -> tuple[DataFrame, li
     links = links.union(_verified(_rest(live, members, nodes, percent), sets, percent))
     members = components(links, "a", "b")
 
-    named = described.select("doc_id", "n_shingles", "node").join(members, "node", "left")
+    named = described.select("doc_id", "text_hash", "n_shingles", "node").join(members, "node", "left")
     named = named.withColumn("class", F.coalesce("component", "node"))
     smallest = named.where("node is not null").groupBy("class").agg(F.min("doc_id").alias("smallest"))
     classes = named.join(smallest, "class", "left").select(
-        "doc_id", "n_shingles", "node", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("smallest")).alias("component_id")
+        "doc_id", "text_hash", "n_shingles", "node", "class", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("smallest")).alias("component_id")
     )
     return stored(classes, "jaccard-classes"), [described, live, sets]
