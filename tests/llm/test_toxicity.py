@@ -52,6 +52,15 @@ def test_model_does_not_depend_on_the_order_of_rows(spark, docs_of):
     assert (a.hashes == b.hashes).all() and np.allclose(a.weights, b.weights)
 
 
+def test_model_is_fixed_under_ids_used_again(spark, docs_of):
+    """Rows that share an id but not a text, in two orders."""
+    pairs = [(k % 40, f"plain words number {k}" + (" horrid" if k % 8 < 3 else "")) for k in range(160)]
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(40)], "doc_id long, toxic int")
+    models = [toxicity.fit(docs_of(*p).repartition(n), labels) for p, n in ((pairs, 1), (pairs[::-1], 7))]
+    assert (models[0].hashes == models[1].hashes).all() and np.allclose(models[0].weights, models[1].weights)
+    assert toxicity.fit_sample(docs_of(*pairs), labels, 100, "doc_id", "text", "toxic").count() == 40
+
+
 def test_sample_bound(spark, docs_of):
     docs, labels = toy(spark, docs_of)
     assert toxicity.fit_sample(docs, labels, 20, "doc_id", "text", "toxic").count() == 20

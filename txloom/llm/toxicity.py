@@ -79,8 +79,9 @@ def fit_sample(docs: DataFrame, labels: DataFrame, fit_rows: int, id_column: str
     named = labels.select(F.col(id_column).cast("long").alias("doc_id"), F.col(label_column).cast("int").alias("toxic"))
     chosen = named.dropna().distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(fit_rows)
     joined = texts(docs, id_column, text_column).join(F.broadcast(chosen), "doc_id")  # at most fit_rows rows
-    # copies of one text under one id would outweigh others
-    return stored(joined.dropDuplicates(["doc_id", "toxic"]).select("text", "toxic"), "toxicity-sample")
+    # of several texts of an id the first by hash stands for it, so that neither copies nor an id used again outweigh others
+    one = joined.groupBy("doc_id", "toxic").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("first"))
+    return stored(one.select("first.text", "toxic"), "toxicity-sample")
 
 
 def _ratios(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -104,7 +105,7 @@ def _ratios(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         return np.empty(0, np.uint64), np.empty(0)
     a, b = F.col("toxic"), F.col("other")
     apart = (a * (o - b) - b * (t - a)) ** 2 / ((a + b) * (t + o - a - b + 1))  # chi-square but for a constant
-    best = counts.where(a + b >= MIN_TEXTS).orderBy(apart.desc(), "h").limit(FEATURES).toPandas()  # at most FEATURES rows
+    best = counts.where(a + b >= MIN_TEXTS).orderBy(apart.desc(), "h").limit(FEATURES).toArrow().to_pandas()  # at most FEATURES rows
     best = best.assign(u=best["h"].to_numpy().view(np.uint64)).sort_values("u")
     p, q = best["toxic"].to_numpy() + SMOOTHING, best["other"].to_numpy() + SMOOTHING
     return best["u"].to_numpy(), np.log(p / (t + 2 * SMOOTHING)) - np.log(q / (o + 2 * SMOOTHING))
@@ -152,7 +153,7 @@ def fit(
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), batch.column("toxic")], ["present", "toxic"])
 
     # at most fit_rows rows of at most FEATURES 16-bit numbers
-    held = sample.mapInArrow(features, "present binary, toxic int").toPandas().sort_values(["toxic", "present"])
+    held = sample.mapInArrow(features, "present binary, toxic int").toArrow().to_pandas().sort_values(["toxic", "present"])
     toxic = (held["toxic"].to_numpy() == 1).astype(float)
     if not len(hashes):
         share = float(toxic.mean()) if len(toxic) else 0.0
