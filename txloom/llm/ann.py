@@ -195,7 +195,7 @@ def neighbours(
     """
     spark = vectors.sparkSession
     rows = stored(_usable(vectors, id_column, vector_column).dropDuplicates(["vec_id", "v"]), "forest-rows")
-    sampled = rows.orderBy(F.xxhash64("vec_id", "v"), "vec_id", "v").limit(fit_rows).toPandas()  # at most fit_rows rows
+    sampled = rows.orderBy(F.xxhash64("vec_id", "v"), "vec_id", "v").limit(fit_rows).toArrow().to_pandas()  # at most fit_rows rows
     sizes = sampled["v"].map(len) if len(sampled) else None
     dimension = int(sizes.mode()[0]) if len(sampled) else 0
     sampled = sampled[sizes == dimension] if len(sampled) else sampled
