@@ -18,13 +18,11 @@ from pyspark.sql import functions as F
 
 #: Words everywhere in this package: runs of bytes other than space and \t \n \v \f \r.
 #: bytes.split() cuts at exactly these, bytes.lower() lower-cases exactly A-Z.
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 100_000
 
 
 def _ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors, which may stand on machines that do not have it."""
-    if spark.sparkContext.master.startswith("local["):
-        return  # driver and executors are one process
+    """Send this package to the Python workers, which may stand on machines that do not have it."""
     package = Path(__file__).resolve().parents[1]
     name = f"{shared_folder(spark)}/{package.name}.zip"
     if name in _shipped:
@@ -48,7 +46,7 @@ def session(spark: SparkSession) -> SparkSession:
     """Long texts make heavy rows: few of them go to Python at once."""
     _ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     return spark
 
 
