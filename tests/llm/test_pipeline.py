@@ -95,3 +95,13 @@ def test_stage_on_odd_rows_and_on_none(spark, name):
     # the join of near copies keeps one row of document 3 and drops document 4, which only adds two words
     assert len(kept) == len(rows) - (2 if name == "near-copies" else 0)
     assert BY_NAME[name](spark, docs.limit(0), SF).count() == 0
+
+
+def test_near_copies_are_judged_by_row(spark):
+    passage = " ".join(f"p{k}" for k in range(60))
+    other = " ".join(f"q{k}" for k in range(60))
+    rows = [(1, passage), (2, passage + " tail"), (2, other), (3, other), (2, other), (4, None), (4, passage), (5, "single")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    stages = dict(corpus_pipeline.STAGES)
+    kept = sorted(((r["doc_id"], r["text"]) for r in stages["near-copies"](spark, docs, "").collect()), key=str)
+    assert kept == sorted([(1, passage), (2, other), (4, None), (5, "single")], key=str)
