@@ -32,16 +32,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies: the one with the smallest doc_id, of equal ones the first by its columns.
+    """One row of each group of near copies: the one with the smallest doc_id, of equal ones the first by its text's hash
+    and then by its columns.
 
-    Rows without words stay, as do rows without an id: neither links with anything that could stand for them.
+    Each row counts with the group of its own text, so rows that reuse an id for other texts lose nothing. Rows
+    without words stay, as do rows without an id: neither links with anything that could stand for them.
     """
     words = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]") & F.col("doc_id").isNotNull()
     worded = docs.where(words)
     classes = jaccard.jaccard_components(worded)
-    kept = classes.where("doc_id = component_id").select("doc_id").distinct()
-    order = Window.partitionBy("doc_id").orderBy(*[F.col(f"`{c}`") for c in docs.columns])
-    one = worded.join(kept, "doc_id", "left_semi").withColumn("_llm_n", F.row_number().over(order)).where("_llm_n = 1").drop("_llm_n")
+    kept = classes.groupBy("class").agg(F.min(F.struct("doc_id", "text_hash")).alias("_llm_first")).select("_llm_first").distinct()
+    named = worded.withColumn("_llm_first", F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash")))
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    order = Window.partitionBy("_llm_first").orderBy(*(others or [F.lit(0)]))
+    one = named.join(kept, "_llm_first", "left_semi").withColumn("_llm_n", F.row_number().over(order)).where("_llm_n = 1")
     return one.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(docs.where(~words))
 
 
