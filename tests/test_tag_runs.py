@@ -8,9 +8,9 @@ from decimal import Decimal
 from helpers import COIN, inp, out, rows, utxo_tx
 
 from txloom.operators import coinjoin, fees, inactivity, large_value, tag_views
-from txloom.plans import daily, tag_runs
+from txloom.plans import daily, sample_queries, tag_runs
 from txloom.schemas import DAY_PRICE
-from txloom.sources import sinks
+from txloom.sources import derived, sinks
 
 DAYS = [datetime(2021, 8, d, 1) for d in (1, 2, 3)]
 
@@ -59,3 +59,19 @@ def test_categories_of_one_table(spark):
     apart = [tag_views.category_tags(spec, by_name) for spec in tag_views.CATEGORIES.values()]
     together = rows(tag_views.categories_of(users).distinct(), "address", "feature", "plots", "idx")
     assert together == sorted({tuple(r) for t in apart for r in t.select("address", "feature", "plots", "idx").collect()})
+
+
+def test_account_tables_and_view(spark, tmp_path):
+    """One run over all days of the sample chain gives the tags of the view query; a repeated run adds nothing."""
+    sf, out_ = "/root/testdata/sf0.001", str(tmp_path)
+    names = ("account_transactions", "protocol_events", "logs", "traces", "token_transfers", "token_price", "token_decimals", "contracts")
+    tables = {name: getattr(derived, name)(spark, sf) for name in names}
+    for _ in range(2):
+        tag_runs.account_tag_tables(tables, out_)
+    columns = ("address", "feature", "name", "plots", "idx")
+    key = lambda df: sorted((tuple(r) for r in df.select(*columns).collect()), key=str)
+    view = tag_runs.account_tag_view(spark, out_)
+    expected = sample_queries.account_tags(spark, sf).where("plots NOT IN ('P117', 'P118') OR plots IS NULL")
+    assert key(view) == key(expected) and view.count() > 100
+    for name in ("miners", "pools", "tornado_depositor", "uniswap_trader", "curve_trader", "ens_registrant", "ens_owner", "protocol_users"):
+        assert sinks.read_runs(spark, f"{out_}/tags/{name}") is not None
