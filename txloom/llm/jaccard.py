@@ -12,9 +12,10 @@ are the join keys. Bands are a factor of three wide and a document near a border
 
 Verification: documents of a key are not paired with each other. First each is paired with one centre of
 its key, twice, the second time with the one that has most links so far. Only keys that then still hold
-documents of different components are looked at pair by pair, in blocks of bounded size, and only pairs of
-different components whose sketches are near enough leave the task. Every pair that leaves is checked on
-the sets themselves.
+documents of different components are looked at pair by pair, in blocks of bounded size: first by sketches,
+which names the documents near one of another component, then by the sets of these. No pairs leave the first
+look, and the second sends out only links that join two components not joined in its block before, fewer than
+it has rows.
 
 Documents with equal sets are one node of the graph from the start.
 """
@@ -41,8 +42,9 @@ BAND_FACTOR = 3
 LEAST_SEGMENTS = 32
 #: Bits of a segment (as a power of two).
 CELLS = 16
-#: Documents of one key that are compared with each other in a task.
+#: Documents of one key that are compared with each other in a task, and their shingles, about.
 BLOCK_ROWS = 1_000
+BLOCK_SHINGLES = 2_000_000
 #: Rows of several keys that a task compares at once, about.
 ROWS_TOGETHER = 20_000
 #: Bits of the filter that tells which sets are needed, at most.
@@ -257,49 +259,114 @@ def _apart(pairs: DataFrame, members: DataFrame) -> DataFrame:
     return joined.where(~F.col("c_a").eqNullSafe(F.col("c_b")) | F.col("c_a").isNull()).select("a", "b")
 
 
-def _rest(live: DataFrame, members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Near pairs of different components in keys that hold more than one component, without exception."""
-    named = live.join(members, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    open_ = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).where("x < y")
-    blocks = open_.select("key", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"))
-    placed = named.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+def _spread(live: DataFrame, members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Rows of the keys that hold more than one component, one for each pair of blocks that the row's block is in.
+
+    A block has some BLOCK_ROWS rows or BLOCK_SHINGLES shingles of a key, whichever is reached first.
+    """
+    named = live.join(members, "node", "left").withColumn("component", F.coalesce("component", "node")).join(nodes.select("node", "n_shingles"), "node")
+    open_ = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n"), F.sum("n_shingles").alias("weight"))
+    size = F.ceil(F.greatest(F.col("n") / BLOCK_ROWS, F.col("weight") / BLOCK_SHINGLES)).cast("int")
+    blocks = stored(open_.where("x < y").select("key", "n", size.alias("blocks")), "jaccard-open")
+    placed = named.join(blocks.drop("n"), "key").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    # a row goes to the tasks of all block pairs that its block is in
     spread = placed.withColumn("other", F.explode(every)).select(
-        "key", "node", "component", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
+        "key", "node", "component", "block", "n_shingles", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
     )
     # tasks of many small keys take these together
-    together = spread.count() // ROWS_TOGETHER + 1
-    spread = spread.withColumn("task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(together)))
-    spread = spread.join(nodes.select("node", "n_shingles", "sketch"), "node")
-
-    def compare(table: pa.Table) -> pa.Table:
-        key, i, j, node, component, n, block = (table.column(c).to_numpy() for c in ("key", "i", "j", "node", "component", "n_shingles", "block"))
-        order = np.lexsort((component, j, i, key))
-        key, i, j, node, component, n, block = (x[order] for x in (key, i, j, node, component, n, block))
-        sketches = [np.frombuffer(x, np.uint8) for x in table.column("sketch").take(pa.array(order)).to_pylist()]
-        cuts = np.flatnonzero(np.append(True, (np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)))
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        for a, b in zip(cuts, np.append(cuts[1:], len(key)), strict=True):
-            if component[a] == component[b - 1]:
-                continue
-            size = min(len(x) for x in sketches[a:b])
-            bits = np.concatenate([folded(x[None, :], size) for x in sketches[a:b]]).view(np.uint64)
-            at = np.arange(a, b)
-            rows_, columns = (at, at) if i[a] == j[a] else (at[block[a:b] == i[a]], at[block[a:b] == j[a]])
-            for r in rows_:
-                c = columns[columns > r] if i[a] == j[a] else columns
-                c = c[(component[c] != component[r]) & (np.minimum(n[c], n[r]) * 100 >= np.maximum(n[c], n[r]) * percent)]
-                if len(c):
-                    distance = np.bitwise_count(bits[c - a] ^ bits[r - a]).sum(1).astype(np.int64)
-                    c = c[_near(n[c], n[r], distance, percent)]
-                    found.append((np.minimum(node[c], node[r]), np.maximum(node[c], node[r])))
-        a, b = (np.concatenate([np.empty(0, np.int64), *(x[k] for x in found)]) for k in (0, 1))
+    rows_ = blocks.agg(F.sum(F.col("n") * F.col("blocks"))).first()[0] or 0
+    return spread.withColumn("task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(rows_ // ROWS_TOGETHER + 1)))
+
+
+def _by_pair_of_blocks(table: pa.Table) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
+    """Each pair of blocks of a task: its rows, and the places of those of the first and of the second block."""
+    key, i, j, block = (table.column(c).to_numpy() for c in ("key", "i", "j", "block"))
+    order = np.lexsort((block, j, i, key))
+    key, i, j, block = (x[order] for x in (key, i, j, block))
+    table = table.take(pa.array(order))
+    cuts = np.flatnonzero(np.append(True, (np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)))
+    for a, b in zip(cuts, np.append(cuts[1:], len(key)), strict=True):
+        at = np.arange(b - a)
+        first = at[block[a:b] == i[a]]
+        yield table.slice(a, b - a), first, first if i[a] == j[a] else at[block[a:b] == j[a]]
+
+
+def _near_within(sketches: list[bytes], n: np.ndarray, component: np.ndarray, first: np.ndarray, second: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The places of near pairs of different components, some rows of the first block at a time."""
+    size = min(map(len, sketches))
+    bits = np.concatenate([folded(np.frombuffer(x, np.uint8)[None, :], size) for x in sketches]).view(np.uint64)
+    step = max(1, (1 << 20) // (len(second) * bits.shape[1] + 1))
+    for k in range(0, len(first), step):
+        r, c = first[k : k + step, None], second[None, :]
+        distance = np.bitwise_count(bits[r] ^ bits[c]).sum(2, dtype=np.int64)
+        near = _near(n[r], n[c], distance, percent) & (component[r] != component[c])
+        if first is second:
+            near &= r < c
+        x, y = np.nonzero(near)
+        yield first[k + x], second[y]
+
+
+def _wanted(spread: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The rows of `spread` that are near a row of another component in some pair of blocks, stored."""
+
+    def near(table: pa.Table) -> pa.Table:
+        kept = []
+        for part, first, second in _by_pair_of_blocks(table):
+            n, component = (part.column(c).to_numpy() for c in ("n_shingles", "component"))
+            wanted = np.zeros(len(n), bool)
+            if (component != component[0]).any():
+                for x, y in _near_within(part.column("sketch").to_pylist(), n, component, first, second, percent):
+                    wanted[x] = wanted[y] = True
+            if wanted.any():
+                kept.append(part.drop_columns(["sketch", "task"]).filter(pa.array(wanted)))
+        return pa.concat_tables(kept) if kept else table.drop_columns(["sketch", "task"]).slice(0, 0)
+
+    columns = "key long, node long, component long, block int, n_shingles long, i int, j int"
+    rows_ = spread.join(nodes.select("node", "sketch"), "node").select("key", "node", "component", "block", "n_shingles", "i", "j", "task", "sketch")
+    return stored(rows_.groupBy("task").applyInArrow(near, columns), "jaccard-wanted")
+
+
+def _rest(live: DataFrame, members: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links that join all components which a key shows to be linked, stored: of a pair of blocks no more than its rows."""
+    wanted = _wanted(_spread(live, members, nodes), nodes, percent)
+    shingles_ = wanted.agg(F.sum("n_shingles")).first()[0] or 0
+    tasks = F.lit(shingles_ // BLOCK_SHINGLES + 1)
+
+    def link(table: pa.Table) -> pa.Table:
+        out: list[tuple[int, int]] = []
+        for part, first, second in _by_pair_of_blocks(table):
+            node, n, component = (part.column(c).to_numpy() for c in ("node", "n_shingles", "component"))
+            items = [np.frombuffer(x, np.uint64) for x in part.column("items").to_pylist()]
+            ends = np.cumsum([len(x) for x in items])[:-1]
+            local = np.split(np.unique(np.concatenate(items), return_inverse=True)[1], ends)
+            mark = np.zeros(max(int(x.max()) for x in local) + 1, bool)
+            root = {c: c for c in component.tolist()}
+
+            def top(c: int, root: dict[int, int] = root) -> int:
+                while root[c] != c:
+                    root[c] = c = root[root[c]]
+                return c
+
+            marked = -1
+            for rows_, columns in _near_within([sketch(x) for x in items], n, component, first, second, percent):
+                for r, c in zip(rows_.tolist(), columns.tolist(), strict=True):
+                    x, y = top(int(component[r])), top(int(component[c]))
+                    if x == y:
+                        continue
+                    if marked != r:
+                        mark[:] = False
+                        mark[local[r]] = True
+                        marked = r
+                    both = int(np.count_nonzero(mark[local[c]]))
+                    if 100 * both >= percent * int(n[r] + n[c] - both):
+                        root[max(x, y)] = min(x, y)
+                        out.append((int(node[r]), int(node[c])))
         # a pair often shares many keys
-        once = np.unique(np.column_stack([a, b]), axis=0) if len(a) else np.empty((0, 2), np.int64)
+        once = np.unique(np.array(out, np.int64).reshape(-1, 2), axis=0)
         return pa.table({"a": once[:, 0], "b": once[:, 1]})
 
-    return spread.groupBy("task").applyInArrow(compare, "a long, b long").distinct()
+    rows_ = wanted.join(sets.select("node", "items"), "node").withColumn("task", F.pmod(F.xxhash64("key", "i", "j"), tasks))
+    return stored(rows_.groupBy("task").applyInArrow(link, "a long, b long").distinct(), "jaccard-links")
 
 
 def jaccard_components(
@@ -330,7 +397,7 @@ def _classes(narrow: DataFrame, percent: int, width: int) -> tuple[DataFrame, li
     members = stored(components(links, "a", "b"), "jaccard-members")
     links = links.union(_verified(_near_pairs(_apart(_to_centres(live, degree), members), nodes, percent), sets, percent))
     members = stored(components(links, "a", "b"), "jaccard-members")
-    links = links.union(_verified(_rest(live, members, nodes, percent), sets, percent))
+    links = links.union(_rest(live, members, nodes, sets, percent))
     members = components(links, "a", "b")
 
     named = described.select("doc_id", "text_hash", "n_shingles", "node").join(members, "node", "left")
