@@ -120,3 +120,22 @@ def test_query(spark):
 
 def test_words_are_those_of_bytes():
     assert len(jaccard.shingles("a\x1cb c\x85d e", WordHashes())) == 1
+
+
+def test_a_group_sends_out_fewer_links_than_rows(spark, docs_of, monkeypatch):
+    """Eighty copies that all link with each other, looked at pair by pair from the start."""
+    base = [f"w{k}" for k in range(120)]
+    pairs = [(k, " ".join([*base, f"end{k}"])) for k in range(80)]
+    made = []
+    rest = jaccard._rest
+    monkeypatch.setattr(jaccard, "_to_centres", lambda live, rank: spark.createDataFrame([], "a long, b long"))
+    monkeypatch.setattr(jaccard, "_rest", lambda live, *more: made.append((live.count(), live.select("key").distinct().count(), links := rest(live, *more), links.count())) or links)
+    assert found(docs_of(*pairs)) == plain(pairs)
+    rows, keys, _, links = made[0]
+    assert 79 <= links <= rows - keys and links < 80 * 79 // 4
+
+
+def test_keys_with_the_same_documents_are_one(spark):
+    keys = [(1, [10, 11, 12, 13]), (2, [10, 11, 12, 14]), (1, [10, 11]), (3, [12, 15])]
+    described = spark.createDataFrame(keys, "node long, keys array<long>")
+    assert sorted(map(tuple, jaccard._live(described).collect())) == [(10, 1), (10, 2), (12, 1), (12, 2), (12, 3)]

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txloom.llm.shared import stored
+from txloom.llm.shared import dropped, stored
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -33,12 +33,14 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
     """
     pairs = links.select(F.col(left).alias("a"), F.col(right).alias("b")).where("a <> b").distinct()
     pairs = stored(pairs, "links")
-    state = None
+    state, read = None, []
     while True:
+        read.append(pairs)
         pairs = stored(_small_star(_large_star(pairs)).where("a <> b").distinct(), "links")
         now = pairs.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % (1 << 40))).first()
         if now == state:
             break
         state = now
+    dropped(*read)
     ends = pairs.select(F.col("b").alias("node"), F.col("a").alias("component"))
     return ends.union(pairs.select("a", "a")).groupBy("node").agg(F.min("component").alias("component"))

@@ -50,7 +50,7 @@ ROWS_TOGETHER = 20_000
 #: Bits of the filter that tells which sets are needed, at most.
 FILTER_BITS = 1 << 24
 
-ROWS = "doc_id long, n_shingles long, node long, text_hash long, sketch binary, keys array<long>"
+ROWS = "doc_id long, n_shingles long, node long, text_hash long, keys array<long>"
 
 
 def shingles(text: str, hashes: WordHashes, width: int = SHINGLE) -> np.ndarray:
@@ -142,12 +142,12 @@ def folded(data: np.ndarray, size: int) -> np.ndarray:
 
 
 def _rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """A stored row for each document; sketch and keys only where its set is new to the task and not empty."""
+    """A stored row for each document; keys only where its set is new to the task and not empty."""
 
     def describe(batches: Iterable) -> Iterator[pa.RecordBatch]:
         hashes, known = WordHashes(), set()
         for batch in batches:
-            sizes, nodes, text_hashes, sketches, keys = [], [], [], [], []
+            sizes, nodes, text_hashes, keys = [], [], [], []
             for text in batch.column("text").to_pylist():
                 s = shingles(text, hashes, width)
                 node = _node(s)
@@ -156,11 +156,10 @@ def _rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 sizes.append(len(s))
                 nodes.append(node)
                 text_hashes.append(_text_hash(text))
-                sketches.append(sketch(s) if new else None)
                 keys.append(signed(segment_keys(s, percent)) if new else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(text_hashes, pa.int64()), pa.array(sketches, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "node", "text_hash", "sketch", "keys"],
+                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(text_hashes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
+                ["doc_id", "n_shingles", "node", "text_hash", "keys"],
             )
 
     return stored(docs.mapInArrow(describe, ROWS), "jaccard-rows")
@@ -190,7 +189,7 @@ def _near_pairs(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def _candidate_sets(docs: DataFrame, described: DataFrame, live: DataFrame, width: int) -> DataFrame:
-    """node, items (its set), stored, for the nodes that share a key with another. They are made again from their texts."""
+    """node, n_shingles, sketch, items (its set), stored, for the nodes that share a key with another. They are made again from their texts."""
     spark = docs.sparkSession
     ends = live.select("node").distinct()
     wanted = described.join(ends, "node", "left_semi").select(F.col("text_hash").alias("h"))
@@ -204,7 +203,7 @@ def _candidate_sets(docs: DataFrame, described: DataFrame, live: DataFrame, widt
     def candidates(batches: Iterable) -> Iterator[pa.RecordBatch]:
         hashes, known, table = WordHashes(), set(), shared.value
         for batch in batches:
-            nodes, sets = [], []
+            nodes, sizes, sketches, sets = [], [], [], []
             for text in batch.column("text").to_pylist():
                 at = _text_hash(text) & (FILTER_BITS - 1)
                 if int(table[at >> 6]) >> (at & 63) & 1:
@@ -213,11 +212,17 @@ def _candidate_sets(docs: DataFrame, described: DataFrame, live: DataFrame, widt
                     if node is not None and node not in known:
                         known.add(node)
                         nodes.append(node)
+                        sizes.append(len(s))
+                        sketches.append(sketch(s))
                         sets.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], ["node", "items"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary()), pa.array(sets, pa.binary())],
+                ["node", "n_shingles", "sketch", "items"],
+            )
 
-    sets = docs.mapInArrow(candidates, "node long, items binary")
-    return stored(sets.join(ends, "node", "left_semi").groupBy("node").agg(F.first("items").alias("items")), "jaccard-sets")
+    sets = docs.mapInArrow(candidates, "node long, n_shingles long, sketch binary, items binary")
+    one = sets.join(ends, "node", "left_semi").groupBy("node").agg(*(F.first(c).alias(c) for c in ("n_shingles", "sketch", "items")))
+    return stored(one, "jaccard-sets")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -238,10 +243,18 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _live(described: DataFrame) -> DataFrame:
-    """key, node of the keys that two nodes share, stored."""
+    """key, node of the keys that two nodes share, stored. Of keys with the same nodes one stays: they ask for the same pairs."""
     every = described.where("keys is not null").select("node", F.explode("keys").alias("key"))
     shared = every.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y").select("key")
-    return stored(every.join(shared, "key").distinct(), "jaccard-keys")
+    met = stored(every.join(shared, "key").distinct(), "jaccard-keys")
+    # a set of nodes is told by its size and 128 bits of hash
+    alike = met.groupBy("key").agg(
+        F.count("*").alias("n"), F.expr("bit_xor(xxhash64(node))").alias("h"), F.expr("bit_xor(xxhash64(node, 1))").alias("g")
+    )
+    first = alike.groupBy("n", "h", "g").agg(F.min("key").alias("key")).select("key")
+    live = stored(met.join(first, "key", "left_semi"), "jaccard-keys")
+    dropped(met)
+    return live
 
 
 def _to_centres(live: DataFrame, rank: DataFrame | None) -> DataFrame:
@@ -255,8 +268,14 @@ def _to_centres(live: DataFrame, rank: DataFrame | None) -> DataFrame:
 def _apart(pairs: DataFrame, members: DataFrame) -> DataFrame:
     """The pairs whose nodes are of different components so far."""
     side = lambda x: members.select(F.col("node").alias(x), F.col("component").alias(f"c_{x}"))
-    joined = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
-    return joined.where(~F.col("c_a").eqNullSafe(F.col("c_b")) | F.col("c_a").isNull()).select("a", "b")
+    return pairs.join(side("a"), "a").join(side("b"), "b").where("c_a <> c_b").select("a", "b", "c_a", "c_b")
+
+
+def _merged(members: DataFrame, links: DataFrame) -> DataFrame:
+    """node, component after further links, stored: only the components that these join are gone through again."""
+    again = components(_apart(links, members), "c_a", "c_b").select(F.col("node").alias("component"), F.col("component").alias("joined"))
+    after = members.join(again, "component", "left").select("node", F.coalesce("joined", "component").alias("component"))
+    return stored(after, "jaccard-members")
 
 
 def _spread(live: DataFrame, members: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -264,7 +283,7 @@ def _spread(live: DataFrame, members: DataFrame, nodes: DataFrame) -> DataFrame:
 
     A block has some BLOCK_ROWS rows or BLOCK_SHINGLES shingles of a key, whichever is reached first.
     """
-    named = live.join(members, "node", "left").withColumn("component", F.coalesce("component", "node")).join(nodes.select("node", "n_shingles"), "node")
+    named = live.join(members, "node").join(nodes.select("node", "n_shingles"), "node")
     open_ = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n"), F.sum("n_shingles").alias("weight"))
     size = F.ceil(F.greatest(F.col("n") / BLOCK_ROWS, F.col("weight") / BLOCK_SHINGLES)).cast("int")
     blocks = stored(open_.where("x < y").select("key", "n", size.alias("blocks")), "jaccard-open")
@@ -388,22 +407,22 @@ def jaccard_components(
 def _classes(narrow: DataFrame, percent: int, width: int) -> tuple[DataFrame, list[DataFrame]]:
     """The rows of jaccard_components, stored, and the stored tables they were made from."""
     described = _rows(narrow, width, percent)
-    nodes = described.where("sketch is not null").groupBy("node").agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
     live = _live(described)
     sets = _candidate_sets(narrow, described, live, width)
+    nodes = sets.select("node", "n_shingles", "sketch")
 
-    links = _verified(_near_pairs(_to_centres(live, None), nodes, percent), sets, percent)
-    degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count("*").alias("rank"))
-    members = stored(components(links, "a", "b"), "jaccard-members")
-    links = links.union(_verified(_near_pairs(_apart(_to_centres(live, degree), members), nodes, percent), sets, percent))
-    members = stored(components(links, "a", "b"), "jaccard-members")
-    links = links.union(_rest(live, members, nodes, sets, percent))
-    members = components(links, "a", "b")
+    first = _verified(_near_pairs(_to_centres(live, None), nodes, percent), sets, percent)
+    degree = first.select(F.col("a").alias("node")).union(first.select("b")).groupBy("node").agg(F.count("*").alias("rank"))
+    members = [_merged(nodes.select("node", F.col("node").alias("component")), first)]
+    second = _verified(_near_pairs(_apart(_to_centres(live, degree), members[-1]), nodes, percent), sets, percent)
+    members.append(_merged(members[-1], second))
+    third = _rest(live, members[-1], nodes, sets, percent)
+    members.append(_merged(members[-1], third))
 
-    named = described.select("doc_id", "text_hash", "n_shingles", "node").join(members, "node", "left")
+    named = described.select("doc_id", "text_hash", "n_shingles", "node").join(members[-1], "node", "left")
     named = named.withColumn("class", F.coalesce("component", "node"))
     smallest = named.where("node is not null").groupBy("class").agg(F.min("doc_id").alias("smallest"))
     classes = named.join(smallest, "class", "left").select(
         "doc_id", "text_hash", "n_shingles", "node", "class", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("smallest")).alias("component_id")
     )
-    return stored(classes, "jaccard-classes"), [described, live, sets]
+    return stored(classes, "jaccard-classes"), [described, live, sets, first, second, third, *members]
