@@ -74,6 +74,12 @@ def test_one_large_group_in_small_blocks(spark, docs_of, monkeypatch):
     assert found(docs_of(*pairs)) == plain(pairs)
 
 
+def test_blocks_are_cut_by_shingles_too(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 400)
+    pairs = near_copies(3, 1, 60, (70,))
+    assert found(docs_of(*pairs)) == plain(pairs)
+
+
 def test_odd_rows(spark, docs_of):
     pairs = [(1, None), (2, ""), (3, " \n\t"), (4, "One two"), (5, "one TWO"), (6, "one two three"), (7, "É a b c d e"), (8, "é a b c d e"), (9, "z " * 40_000), (10, "z " * 50_000)]
     assert found(docs_of(*pairs)) == plain(pairs)
