@@ -170,9 +170,21 @@ def _near(n_a: np.ndarray, n_b: np.ndarray, distance: np.ndarray, percent: int)
     return (distance * (100 + percent) <= (n_a + n_b) * (100 - percent)) & (np.minimum(n_a, n_b) * 100 >= np.maximum(n_a, n_b) * percent)
 
 
+def _with_both(pairs: DataFrame, nodes: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+    """The pairs (a, b) with n_shingles and a column of both nodes, and a stored table that they are read from.
+
+    A node is in no more pairs as `a` than it has keys, so `a` meets the buckets of `nodes`, which are not shuffled.
+    `b`, the centre of a key, can be that of very many: the few centres come as a table of their own, and adaptive
+    execution splits this join where one has many pairs.
+    """
+    centres = stored(nodes.join(pairs.select(F.col("b").alias("node")).distinct(), "node", "left_semi").select("node", "n_shingles", column), "jaccard-centres")
+    side = lambda of, x: of.select(F.col("node").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col(column).alias(f"s_{x}"))
+    return pairs.join(side(nodes, "a"), "a").join(side(centres, "b"), "b"), centres
+
+
 def _near_pairs(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sketches are near enough."""
-    side = lambda x: nodes.select(F.col("node").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
+    """The pairs (a, b) whose sketches are near enough, stored."""
+    sketched, centres = _with_both(pairs, nodes, "sketch")
 
     def measure(batches: Iterable) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,11 +197,16 @@ def _near_pairs(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
             keep = pa.array(_near(n_a, n_b, distance, percent))
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(measure, "a long, b long")
+    near = stored(sketched.mapInArrow(measure, "a long, b long"), "jaccard-near")
+    dropped(centres)
+    return near
 
 
 def _candidate_sets(docs: DataFrame, described: DataFrame, live: DataFrame, width: int) -> DataFrame:
-    """node, n_shingles, sketch, items (its set), stored, for the nodes that share a key with another. They are made again from their texts."""
+    """node, n_shingles, sketch, items (its set), for the nodes that share a key with another. They are made again from their texts.
+
+    Stored in buckets by node, so that the joins that follow do not shuffle the sets again.
+    """
     spark = docs.sparkSession
     ends = live.select("node").distinct()
     wanted = described.join(ends, "node", "left_semi").select(F.col("text_hash").alias("h"))
@@ -222,12 +239,12 @@ def _candidate_sets(docs: DataFrame, described: DataFrame, live: DataFrame, widt
 
     sets = docs.mapInArrow(candidates, "node long, n_shingles long, sketch binary, items binary")
     one = sets.join(ends, "node", "left_semi").groupBy("node").agg(*(F.first(c).alias(c) for c in ("n_shingles", "sketch", "items")))
-    return stored(one, "jaccard-sets")
+    return stored(one, "jaccard-sets", bucketed=(int(spark.conf.get("spark.sql.shuffle.partitions")), "node"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose sets are similar enough, stored."""
-    side = lambda x: sets.select(F.col("node").alias(x), F.col("items").alias(f"s_{x}"))
+    whole, centres = _with_both(pairs, sets, "items")
 
     def check(batches: Iterable) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -239,7 +256,18 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], ["a", "b"])
 
-    return stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(check, "a long, b long"), "jaccard-links")
+    links = stored(whole.mapInArrow(check, "a long, b long"), "jaccard-links")
+    dropped(centres)
+    return links
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The linked ones of pairs (node, centre), stored."""
+    pairs = stored(pairs, "jaccard-pairs")
+    near = _near_pairs(pairs, sets, percent)
+    links = _verified(near, sets, percent)
+    dropped(pairs, near)
+    return links
 
 
 def _live(described: DataFrame) -> DataFrame:
@@ -258,11 +286,14 @@ def _live(described: DataFrame) -> DataFrame:
 
 
 def _to_centres(live: DataFrame, rank: DataFrame | None) -> DataFrame:
-    """Pairs of each node with the centre of each of its keys: the node of the highest rank."""
+    """Pairs (a, b) of each node with the centre of each of its keys: the node of the highest rank.
+
+    The order by rank and node is the same in all keys, so no pair comes both ways round.
+    """
     ranked = live.withColumn("rank", F.lit(0)) if rank is None else live.join(rank, "node", "left").fillna(0, ["rank"])
     centre = ranked.groupBy("key").agg(F.max(F.struct("rank", "node")).alias("centre"))
     pairs = ranked.join(centre.select("key", F.col("centre.node").alias("centre")), "key").where("node <> centre")
-    return pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+    return pairs.select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
 
 
 def _apart(pairs: DataFrame, members: DataFrame) -> DataFrame:
@@ -411,10 +442,10 @@ def _classes(narrow: DataFrame, percent: int, width: int) -> tuple[DataFrame, li
     sets = _candidate_sets(narrow, described, live, width)
     nodes = sets.select("node", "n_shingles", "sketch")
 
-    first = _verified(_near_pairs(_to_centres(live, None), nodes, percent), sets, percent)
+    first = _linked(_to_centres(live, None), sets, percent)
     degree = first.select(F.col("a").alias("node")).union(first.select("b")).groupBy("node").agg(F.count("*").alias("rank"))
     members = [_merged(nodes.select("node", F.col("node").alias("component")), first)]
-    second = _verified(_near_pairs(_apart(_to_centres(live, degree), members[-1]), nodes, percent), sets, percent)
+    second = _linked(_apart(_to_centres(live, degree), members[-1]).select("a", "b"), sets, percent)
     members.append(_merged(members[-1], second))
     third = _rest(live, members[-1], nodes, sets, percent)
     members.append(_merged(members[-1], third))

@@ -68,9 +68,11 @@ def stored(df: DataFrame, name: str, bucketed: tuple[int, str] | None = None) ->
     if bucketed:
         named = f"llm_{name.replace('-', '_')}_{unique}"
         writer.bucketBy(*bucketed).option("path", path).saveAsTable(named)
-        return spark.table(named)
-    writer.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
+        out = spark.table(named)
+        out._llm_table = named
+    else:
+        writer.parquet(path)
+        out = spark.read.schema(df.schema).parquet(path)
     out._llm_folder = path
     return out
 
@@ -81,6 +83,8 @@ def dropped(*tables: DataFrame) -> None:
         spark = table_.sparkSession
         folder = spark._jvm.org.apache.hadoop.fs.Path(table_._llm_folder)
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        if hasattr(table_, "_llm_table"):
+            spark.sql(f"DROP TABLE IF EXISTS {table_._llm_table}")
     gc.collect()
     if tables:
         tables[0].sparkSession._jvm.System.gc()
