@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txloom.functions.columns import ZERO_ADDRESS, day_of, day_slice, safe_numeric
+from txloom.functions.columns import ZERO_ADDRESS, day_of, day_slice, packed, safe_numeric, unpacked
 from txloom.functions.relations import union_all, union_distinct
 
 TRANSFER_SELECTOR = "0xa9059cbb"  # fixed value: call of a token's own transfer method
@@ -44,6 +44,26 @@ def receipt_status(tx: DataFrame, backfill: DataFrame | None) -> DataFrame:
     )
 
 
+ENDS = ("from_address", "to_address")  # what a transfer mostly consists of
+
+
+def packed_ends(transfers: DataFrame) -> DataFrame:
+    """Transfers with both addresses as bytes, for the way to the task of their transaction."""
+    return transfers.withColumns({c: packed(c) for c in ENDS})
+
+
+def unpacked_ends(transfers: DataFrame) -> DataFrame:
+    return transfers.withColumns({c: unpacked(c) for c in ENDS})
+
+
+def of_transactions(transfers: DataFrame, hashes: DataFrame) -> DataFrame:
+    """The transfers whose transaction is among `hashes` (transaction_hash).
+
+    An inner join with distinct hashes, as Spark would move a semi-join, and its shuffle, below the packing.
+    """
+    return unpacked_ends(packed_ends(transfers).join(hashes.select("transaction_hash").distinct(), "transaction_hash"))
+
+
 def native_transfers(traces: DataFrame, both_ends: bool = True, scale: str = "divide") -> DataFrame:
     """Traces that moved native coin, in coins.
 
@@ -80,12 +100,15 @@ def succeed_transfers(
 
     Without `run_date` this is the build of the whole history.
     """
-    ok = receipt_status(day_slice(tx, run_date), backfill).where(F.col("receipt_status") == 1).select("hash")
-    moved = with_native_price(native_transfers(day_slice(traces, run_date)), token_price)
-    return (
-        moved.withColumnRenamed("transaction_hash", "hash")
-        .join(ok, "hash", "left_semi")
-        .select("hash", "from_address", "to_address", "value", "usd_value", day_of("block_timestamp").alias("pt"))
+    ok = receipt_status(day_slice(tx, run_date), backfill).where(F.col("receipt_status") == 1)
+    done = of_transactions(native_transfers(day_slice(traces, run_date)), ok.select(F.col("hash").alias("transaction_hash")))
+    return with_native_price(done, token_price).select(
+        F.col("transaction_hash").alias("hash"),
+        "from_address",
+        "to_address",
+        "value",
+        "usd_value",
+        day_of("block_timestamp").alias("pt"),
     )
 
 
@@ -109,8 +132,8 @@ def direct_token_transfers(
 ) -> DataFrame:
     """Transfers of whitelisted tokens made by a direct call of the token, in token units.
 
-    The whitelist is joined first: it is small and drops most rows before the join of the two big
-    tables on transaction hash.
+    The whitelist is joined first: it is small, a row a priced token, so it is sent to all tasks, and drops most rows
+    before the join of the two big tables on transaction hash.
     """
     calls = day_slice(tx, run_date).where(F.col("input").startswith(TRANSFER_SELECTOR)).select(
         F.col("hash").alias("transaction_hash")
@@ -118,21 +141,17 @@ def direct_token_transfers(
     amount = safe_numeric("value").cast("double")
     digits = F.col("decimals").try_cast("long") if scale == "divide" else F.col("decimals").cast("long")
     units = amount / F.pow(F.lit(10.0), digits) if scale == "divide" else amount * F.pow(F.lit(10.0), -digits)
-    return (
-        day_slice(token_transfers, run_date)
-        .join(tokens, "token_address")
-        .join(calls, "transaction_hash", "left_semi")
-        .select(
-            "transaction_hash",
-            "from_address",
-            "to_address",
-            "token_address",
-            "block_timestamp",
-            "block_number",
-            units.alias("value"),
-            "symbol",
-        )
+    listed = day_slice(token_transfers, run_date).join(F.broadcast(tokens), "token_address").select(
+        "transaction_hash",
+        "from_address",
+        "to_address",
+        "token_address",
+        "block_timestamp",
+        "block_number",
+        units.alias("value"),
+        "symbol",
     )
+    return of_transactions(listed, calls)
 
 
 def priced_transfers(
@@ -154,7 +173,7 @@ def priced_transfers(
     )
     native = native_transfers(day_slice(traces, run_date), both_ends=False, scale="multiply")
     if successful is not None:
-        native = native.join(successful.select(F.col("hash").alias("transaction_hash")), "transaction_hash", "left_semi")
+        native = of_transactions(native, successful.select(F.col("hash").alias("transaction_hash")))
     # all native transfers share one token address; they join on the day alone, a row per day
     native = native.withColumn("_day", day_of("block_timestamp")).join(
         F.broadcast(prices.where(F.col("token_address") == ZERO_ADDRESS)), "_day"
