@@ -13,7 +13,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txloom.functions.columns import day_slice
+from txloom.functions.columns import day_slice, packed, unpacked
 from txloom.functions.relations import new_only, union_all
 
 
@@ -111,6 +111,11 @@ CURVE_TOPICS = (
 )
 
 
+def _senders(tx: DataFrame, address: str, *more: str) -> DataFrame:
+    """Hash and sender of transactions as bytes, for the way to their events."""
+    return tx.select(packed("hash").alias("hash"), packed("from_address").alias(address), *more)
+
+
 def _first_seen(rows: DataFrame, tag: str) -> DataFrame:
     return (
         rows.groupBy(F.col("from_address").alias("address"))
@@ -128,16 +133,17 @@ def protocol_users(
 ) -> DataFrame:
     """Senders of transactions that emitted an event of the spec, with the first time.
 
-    events: protocol, event, transaction_hash, block_timestamp. A semi join needs no distinct over
-    the events.
+    events: protocol, event, transaction_hash, block_timestamp. Hashes and senders meet as bytes.
     """
     emitted = (
         day_slice(events, run_date)
         .where((F.col("protocol") == spec.protocol) & F.col("event").isin(*spec.events))
-        .select(F.col("transaction_hash").alias("hash"))
+        .select(packed("transaction_hash").alias("hash"))
+        .distinct()
     )
-    sent = day_slice(tx, run_date).select("hash", "from_address", "block_timestamp").join(emitted, "hash", "left_semi")
-    return new_only(_first_seen(sent, spec.tag), stored)
+    sent = _senders(day_slice(tx, run_date), "from_address", "block_timestamp").join(emitted, "hash")
+    first = _first_seen(sent, spec.tag)
+    return new_only(first.withColumn("address", unpacked("address")), stored)
 
 
 def protocol_user_tables(
@@ -161,15 +167,14 @@ def protocol_user_tables(
     emitted = (
         day_slice(events, run_date)
         .where(event.isin(*names))
-        .select(F.col("transaction_hash").alias("hash"), F.explode(F.try_element_at(tables, event)).alias("table"))
+        .select(packed("transaction_hash").alias("hash"), F.explode(F.try_element_at(tables, event)).alias("table"))
     )
     found = (
-        day_slice(tx, run_date)
-        .select("hash", F.col("from_address").alias("address"), "block_timestamp")
+        _senders(day_slice(tx, run_date), "address", "block_timestamp")
         .join(emitted, "hash")
         .groupBy("table", "address")
         .agg(F.min("block_timestamp").alias("tx_timestamp"))
-        .select("table", "address", "tx_timestamp", F.try_element_at(tags, F.col("table")).alias("tag"))
+        .select("table", unpacked("address").alias("address"), "tx_timestamp", F.try_element_at(tags, F.col("table")).alias("tag"))
     )
     return new_only(found, stored, on=("table", "address"))
 
@@ -200,14 +205,15 @@ def curve_traders(
     swaps = (
         day_slice(logs, run_date)
         .where(F.get("topics", F.lit(0)).isin(*CURVE_TOPICS))
-        .select(F.col("transaction_hash").alias("hash"))
+        .select(packed("transaction_hash").alias("hash"))
+        .distinct()
     )
     senders = (
-        day_slice(tx, run_date)
-        .select("hash", F.col("from_address").alias("address"))
-        .join(swaps, "hash", "left_semi")
+        _senders(day_slice(tx, run_date), "address")
+        .join(swaps, "hash")
         .select("address")
         .distinct()
+        .select(unpacked("address").alias("address"))
     )
     return new_only(senders, stored)
 

@@ -57,11 +57,15 @@ def unpacked_ends(transfers: DataFrame) -> DataFrame:
 
 
 def of_transactions(transfers: DataFrame, hashes: DataFrame) -> DataFrame:
-    """The transfers whose transaction is among `hashes` (transaction_hash).
+    """The transfers whose transaction is among `hashes` (transaction_hash, as text or `packed`; transfers have text).
 
     An inner join with distinct hashes, as Spark would move a semi-join, and its shuffle, below the packing.
     """
-    return unpacked_ends(packed_ends(transfers).join(hashes.select("transaction_hash").distinct(), "transaction_hash"))
+    key = "transaction_hash"
+    as_bytes = dict(hashes.dtypes)[key] == "binary"
+    moved = packed_ends(transfers.withColumn(key, packed(key)) if as_bytes else transfers)
+    met = unpacked_ends(moved.join(hashes.select(key).distinct(), key))
+    return met.withColumn(key, unpacked(key)) if as_bytes else met
 
 
 def native_transfers(traces: DataFrame, both_ends: bool = True, scale: str = "divide") -> DataFrame:
@@ -100,7 +104,9 @@ def succeed_transfers(
 
     Without `run_date` this is the build of the whole history.
     """
-    ok = receipt_status(day_slice(tx, run_date), backfill).where(F.col("receipt_status") == 1)
+    own = day_slice(tx, run_date).withColumn("hash", packed("hash"))
+    late = None if backfill is None else backfill.withColumn("transaction_hash", packed("transaction_hash"))
+    ok = receipt_status(own, late).where(F.col("receipt_status") == 1)
     done = of_transactions(native_transfers(day_slice(traces, run_date)), ok.select(F.col("hash").alias("transaction_hash")))
     return with_native_price(done, token_price).select(
         F.col("transaction_hash").alias("hash"),
@@ -123,25 +129,14 @@ def valid_tokens(token_price: DataFrame, decimals: Sequence[DataFrame]) -> DataF
     )
 
 
-def direct_token_transfers(
-    token_transfers: DataFrame,
-    tx: DataFrame,
-    tokens: DataFrame,
-    run_date: date | None = None,
-    scale: str = "multiply",
+def listed_token_transfers(
+    token_transfers: DataFrame, tokens: DataFrame, run_date: date | None = None, scale: str = "multiply"
 ) -> DataFrame:
-    """Transfers of whitelisted tokens made by a direct call of the token, in token units.
-
-    The whitelist is joined first: it is small, a row a priced token, so it is sent to all tasks, and drops most rows
-    before the join of the two big tables on transaction hash.
-    """
-    calls = day_slice(tx, run_date).where(F.col("input").startswith(TRANSFER_SELECTOR)).select(
-        F.col("hash").alias("transaction_hash")
-    )
+    """Transfers of whitelisted tokens, in token units. The whitelist is small, a row a priced token, so it is sent to all tasks."""
     amount = safe_numeric("value").cast("double")
     digits = F.col("decimals").try_cast("long") if scale == "divide" else F.col("decimals").cast("long")
     units = amount / F.pow(F.lit(10.0), digits) if scale == "divide" else amount * F.pow(F.lit(10.0), -digits)
-    listed = day_slice(token_transfers, run_date).join(F.broadcast(tokens), "token_address").select(
+    return day_slice(token_transfers, run_date).join(F.broadcast(tokens), "token_address").select(
         "transaction_hash",
         "from_address",
         "to_address",
@@ -151,7 +146,27 @@ def direct_token_transfers(
         units.alias("value"),
         "symbol",
     )
-    return of_transactions(listed, calls)
+
+
+def direct_calls(tx: DataFrame, run_date: date | None = None) -> DataFrame:
+    """Hashes, `packed`, of the transactions that call a token's own transfer method."""
+    return day_slice(tx, run_date).where(F.col("input").startswith(TRANSFER_SELECTOR)).select(
+        packed("hash").alias("transaction_hash")
+    )
+
+
+def direct_token_transfers(
+    token_transfers: DataFrame,
+    tx: DataFrame,
+    tokens: DataFrame,
+    run_date: date | None = None,
+    scale: str = "multiply",
+) -> DataFrame:
+    """Transfers of whitelisted tokens made by a direct call of the token, in token units.
+
+    The whitelist is joined first: it drops most rows before the join of the two big tables on transaction hash.
+    """
+    return of_transactions(listed_token_transfers(token_transfers, tokens, run_date, scale), direct_calls(tx, run_date))
 
 
 def priced_transfers(
@@ -162,11 +177,13 @@ def priced_transfers(
     decimals: Sequence[DataFrame],
     run_date: date | None = None,
     successful: DataFrame | None = None,
+    least_usd: float | None = None,
 ) -> DataFrame:
     """Native and direct token transfers that have a price on their day, with usd_value.
 
     `successful` (hashes, see `successful_tx`) restricts native transfers; token transfers are
-    recorded for successful calls only.
+    recorded for successful calls only. `least_usd` asks for the transfers of at least this value: token transfers
+    are then priced first, so that smaller ones do not travel to their transaction.
     """
     prices = day_slice(token_price, run_date, column="price_day").select(
         F.col("address").alias("token_address"), F.col("price_day").alias("_day"), "price"
@@ -178,13 +195,18 @@ def priced_transfers(
     native = native.withColumn("_day", day_of("block_timestamp")).join(
         F.broadcast(prices.where(F.col("token_address") == ZERO_ADDRESS)), "_day"
     ).withColumn("symbol", F.lit("eth"))
-    tokens = (
-        direct_token_transfers(token_transfers, tx, valid_tokens(token_price, decimals), run_date)
-        .withColumn("_day", day_of("block_timestamp"))
-        .join(prices.where(F.col("token_address") != ZERO_ADDRESS), ["token_address", "_day"])
-    )
-    return (
-        union_all([native, tokens.select(*native.columns)])
-        .withColumn("usd_value", F.col("value") * F.coalesce(F.col("price"), F.lit(0.0)))
-        .drop("_day", "price")
-    )
+
+    def with_price(transfers: DataFrame) -> DataFrame:
+        token_prices = prices.where(F.col("token_address") != ZERO_ADDRESS)
+        return transfers.withColumn("_day", day_of("block_timestamp")).join(token_prices, ["token_address", "_day"])
+
+    def in_usd(priced: DataFrame) -> DataFrame:
+        return priced.withColumn("usd_value", F.col("value") * F.coalesce(F.col("price"), F.lit(0.0))).drop("_day", "price")
+
+    listed, calls = listed_token_transfers(token_transfers, valid_tokens(token_price, decimals), run_date), direct_calls(tx, run_date)
+    if least_usd is None:
+        return in_usd(union_all([native, with_price(of_transactions(listed, calls)).select(*native.columns)]))
+    large = F.col("usd_value") >= least_usd
+    native = in_usd(native).where(large)
+    tokens = of_transactions(in_usd(with_price(listed)).where(large), calls)
+    return union_all([native, tokens.select(*native.columns)])

@@ -84,8 +84,9 @@ def account_tag_tables(tables: Tables, out: str, run_date: date | None = None) -
     spark = tx.sparkSession
     gas = append_run(spark, f"{out}/gas_means", _run(run_date), lambda kept: fees.block_gas_moving_avg(tx, run_date, kept))
     transfers = token_flow.priced_transfers(
-        tables["traces"], tables["token_transfers"], tx, tables["token_price"], [tables["token_decimals"]], run_date
-    )
+        tables["traces"], tables["token_transfers"], tx, tables["token_price"], [tables["token_decimals"]], run_date,
+        least_usd=large_value.TIERS[0],
+    )
     specs = {**protocols.PROTOCOLS}
     _append(
         spark,
