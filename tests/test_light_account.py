@@ -6,11 +6,12 @@ from decimal import Decimal
 
 import pytest
 from helpers import T0, account_tx, rows
-from test_transfer_parts import TOKEN, TRACE, A, B, below_the_join, optimized
+from test_transfer_parts import TOKEN, TRACE, A, B, below_the_join, executed, optimized
 
 from txloom.functions.columns import ZERO_ADDRESS
 from txloom.operators import inactivity, large_value, protocols, token_flow
 from txloom.plans import sample_queries as samples
+from txloom.sources import derived
 
 SF = "/root/testdata/sf0.001"
 
@@ -78,6 +79,12 @@ def test_hashes_meet_events_as_bytes(spark, no_broadcast):
         assert "unhex(" in below_the_join(optimized(found))
 
 
+def test_lists_are_stored_and_their_size_known(spark):
+    for build in (derived.contracts, derived.account_labels):
+        assert not any("lineitem" in f for f in build(spark, SF).inputFiles())
+    assert "Exchange hashpartitioning(token_address" not in executed(samples.q_nft_users(spark, SF))
+
+
 def test_last_activity_is_built_once(spark):
     tables = samples._account_inactivity(spark, SF)
     for df in (tables.inactive, tables.periodic):
