@@ -1,8 +1,9 @@
 """Per-address daily statistics, one aggregation per table.
 
-First and last transactions are the min / max of a struct instead of windows. They combine before
-the shuffle, so a busy address costs one partial row per task. Ties in time go by block, hash
-and amount.
+First and last transactions are the min / max of a struct instead of windows. In the value flow they
+combine before the shuffle, so a busy address costs one partial row per task. Lines of transfers are
+narrower than what they would combine to, so they go as they are to the task of their address and day.
+Ties in time go by block, hash and amount.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txloom.functions.columns import day_of, day_slice, flow_day_slice, hex_bucket, md5_bucket
+from txloom.functions.columns import day_of, day_slice, flow_day_slice, hex_bucket, md5_bucket, packed, unpacked
 
 ENDPOINT_FIELDS = ("hash", "block_timestamp", "block_num", "value", "usd_value")
 
@@ -107,12 +108,20 @@ def token_stat_daily(
     value, usd = F.col("value"), F.col("usd_value")
     is_in, is_out = F.col("is_in"), ~F.col("is_in")
     ends = F.array(
-        F.struct(F.col("to_address").alias("address"), F.lit(True).alias("is_in")),
-        F.struct(F.col("from_address").alias("address"), F.lit(False).alias("is_in")),
+        F.struct(packed("to_address").alias("address"), F.lit(True).alias("is_in")),
+        F.struct(packed("from_address").alias("address"), F.lit(False).alias("is_in")),
+    )
+    day = day_of("block_timestamp")
+    keys = {c: packed(c) for c in ("transaction_hash", "token_address")}
+    sides = (
+        transfers.withColumns(keys)
+        .select("transaction_hash", "token_address", "symbol", "block_timestamp", "block_number", "value", "usd_value", F.inline(ends))
+        .where(F.col("address").isNotNull())
+        # like rows side by side take less room in the shuffle, which serves the grouping and the join with the counts
+        .sortWithinPartitions("address", "token_address", "block_timestamp")
+        .repartition("address", day)
+        .withColumn("transaction_hash", unpacked("transaction_hash"))  # ties go by the text
     )
-    sides = transfers.select(
-        "transaction_hash", "token_address", "symbol", "block_timestamp", "block_number", "value", "usd_value", F.inline(ends)
-    ).where(F.col("address").isNotNull())
 
     def side_stats(side: str, flow: str, cond: Column) -> list[Column]:
         pick = lambda c: F.when(cond, c)
@@ -127,13 +136,13 @@ def token_stat_daily(
             *_endpoints(side, "transaction_hash", "value", "usd_value", cond),
         ]
 
-    stats = sides.groupBy("address", day_of("block_timestamp").alias("block_date"), "token_address").agg(
+    stats = sides.groupBy("address", day.alias("block_date"), "token_address").agg(
         F.min("symbol").alias("symbol"), *side_stats("in", "inflow", is_in), *side_stats("out", "outflow", is_out)
     )
     other = F.col("out_tx_cnt") if turnover == "reference" else F.col("out_tx_value")
     counts = (
         day_slice(tx, run_date)
-        .select(F.explode(F.array("from_address", "to_address")).alias("address"), day_of("block_timestamp").alias("block_date"))
+        .select(F.explode(F.array(packed("from_address"), packed("to_address"))).alias("address"), day.alias("block_date"))
         .where(F.col("address").isNotNull())
         .groupBy("address", "block_date")
         .agg(F.count("*").alias("tx_cnt"))
@@ -148,6 +157,7 @@ def token_stat_daily(
         stats.withColumn("turnover", F.col("in_tx_value") + other)
         .withColumn("turnover_usd", F.col("in_tx_value_usd") + F.col("out_tx_value_usd"))
         .join(counts, ["address", "block_date"], "full_outer")
+        .withColumns({c: unpacked(c) for c in ("address", "token_address")})
         .select(
             hex_bucket("address").alias("addr_pt"),
             "address",

@@ -25,11 +25,11 @@ def token_price_daily(history: DataFrame, current: DataFrame) -> DataFrame:
     )
 
 
-def successful_tx(tx: DataFrame, backfill: DataFrame) -> DataFrame:
-    """Hashes with status 1 in either table."""
-    ok = F.col("receipt_status") == 1
+def successful_tx(tx: DataFrame, backfill: DataFrame, as_bytes: bool = False) -> DataFrame:
+    """Hashes with status 1 in either table, as text or `packed`."""
+    ok, form = F.col("receipt_status") == 1, packed if as_bytes else F.col
     return union_distinct(
-        tx.where(ok).select("hash"), backfill.where(ok).select(F.col("transaction_hash").alias("hash"))
+        tx.where(ok).select(form("hash").alias("hash")), backfill.where(ok).select(form("transaction_hash").alias("hash"))
     )
 
 

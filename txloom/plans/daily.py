@@ -112,7 +112,7 @@ def account_facts(tables: Tables, out: str, run_date: date | None = None) -> Non
         price,
         [tables["token_decimals"]],
         run_date,
-        successful=token_flow.successful_tx(tx, late),
+        successful=token_flow.successful_tx(tx, late, as_bytes=True),
     )
     stats = daily_stats.token_stat_daily(transfers, tx, run_date)
     sinks.reload_partitions(stats, f"{out}/token_stat_daily", "block_date", ["addr_pt", "address"], days)
